@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import Scratch
 from .near_duplicates import near_duplicates
+from .split_overlap import conversation_text, split_overlap
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +18,21 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _overlap(spark: SparkSession, sf: str):
+    return split_overlap(_table(spark, sf, "sharegpt"), "row_id", conversation_text(), F.col("split"), F.col("meta.repo"), shingle=3, threshold=0.6, min_words=20)
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of a training row and a held-out row that overlap by at least 0.6."""
+    pairs = _overlap(spark, sf).pairs()
+    return pairs.select(F.least("id_eval", "id_train").alias("row_id_a"), F.greatest("id_eval", "id_train").alias("row_id_b")).distinct()
+
+
+def p1_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Held-out rows per split and repository, and how many of them a training row repeats."""
+    return _overlap(spark, sf).report().withColumnRenamed("source", "repo")
+
+
 def _members_alike(spark: SparkSession, sf: str):
     return near_duplicates(_table(spark, sf, "members"), "member_id", "member_text", shingle=3, threshold=0.6, min_words=20)
 
@@ -33,6 +49,8 @@ def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "p1_found": p1_found,
+        "p1_report": p1_report,
         "p4_found": p4_found,
         "p4_groups": p4_groups,
     }
