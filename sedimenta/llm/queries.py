@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Scratch
+from .group_splits import group_splits, related_apps
 from .near_duplicates import near_duplicates
 from .split_overlap import conversation_text, split_overlap
 
@@ -33,6 +34,40 @@ def p1_report(spark: SparkSession, sf: str) -> DataFrame:
     return _overlap(spark, sf).report().withColumnRenamed("source", "repo")
 
 
+SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
+
+
+def _apps(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, sf, "apps").select(F.col("app_id").alias("app"), "app_dir")
+
+
+def _candidates(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, sf, "candidates").select(F.col("cand_id").alias("record_id"), "meta.path", "meta.author", "meta.object")
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of apps that must land in the same split."""
+    pairs = related_apps(_apps(spark, sf), _candidates(spark, sf)).pairs()
+    return pairs.select(F.col("app_a").alias("app_id_a"), F.col("app_b").alias("app_id_b"))
+
+
+def _splits(spark: SparkSession, sf: str) -> DataFrame:
+    members = _table(spark, sf, "members").select(F.col("member_id").alias("record_id"), "path", "app_dir")
+    return group_splits(_apps(spark, sf), members, _candidates(spark, sf), SHARES)
+
+
+def p3_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Every member and candidate with its split."""
+    return _splits(spark, sf).select("origin", "record_id", "split")
+
+
+def p3_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Records per origin and split, and their share."""
+    n = _splits(spark, sf).groupBy("origin", "split").agg(F.count("*").alias("n_records"))
+    total = n.groupBy("origin").agg(F.sum("n_records").alias("total"))
+    return n.join(total, "origin").select("origin", "split", "n_records", F.round(F.col("n_records") / F.col("total"), 6).alias("share"))
+
+
 def _members_alike(spark: SparkSession, sf: str):
     return near_duplicates(_table(spark, sf, "members"), "member_id", "member_text", shingle=3, threshold=0.6, min_words=20)
 
@@ -51,6 +86,9 @@ def queries() -> dict[str, Query]:
     return {
         "p1_found": p1_found,
         "p1_report": p1_report,
+        "p3_found": p3_found,
+        "p3_splits": p3_splits,
+        "p3_report": p3_report,
         "p4_found": p4_found,
         "p4_groups": p4_groups,
     }
