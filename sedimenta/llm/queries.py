@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Scratch
+from .doc_pairs import doc_pairs
 from .group_splits import group_splits, related_apps
 from .near_duplicates import near_duplicates
 from .split_overlap import conversation_text, split_overlap
@@ -34,6 +35,16 @@ def p1_report(spark: SparkSession, sf: str) -> DataFrame:
     return _overlap(spark, sf).report().withColumnRenamed("source", "repo")
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Members with a body and documentation that says something."""
+    return doc_pairs(_table(spark, sf, "members"), _table(spark, sf, "source_files"), with_text=False).select("origin", "record_id", "line_no")
+
+
+def p2_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The pairs themselves: documentation, signature and text of each such member."""
+    return doc_pairs(_table(spark, sf, "members"), _table(spark, sf, "source_files"))
+
+
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
 
@@ -86,6 +97,8 @@ def queries() -> dict[str, Query]:
     return {
         "p1_found": p1_found,
         "p1_report": p1_report,
+        "p2_found": p2_found,
+        "p2_pairs": p2_pairs,
         "p3_found": p3_found,
         "p3_splits": p3_splits,
         "p3_report": p3_report,
