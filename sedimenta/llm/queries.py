@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import Scratch
 from .doc_pairs import doc_pairs
 from .group_splits import group_splits, related_apps
+from .leakage import leaked_items, reparameterised_items
 from .near_duplicates import near_duplicates
 from .split_overlap import conversation_text, split_overlap
 
@@ -93,6 +94,16 @@ def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
     return _members_alike(spark, sf).groups().withColumnRenamed("id", "member_id")
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with twelve or more consecutive words of a benchmark item."""
+    return leaked_items(_table(spark, sf, "documents"), "doc_id", "text", _table(spark, sf, "benchmark"), "item_id", "text").select("doc_id", "item_id")
+
+
+def p5_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that repeat an item's template, verbatim or with other names, numbers and units."""
+    return reparameterised_items(_table(spark, sf, "documents"), "doc_id", "text", _table(spark, sf, "benchmark"), "item_id", "text")
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": p1_found,
@@ -104,6 +115,8 @@ def queries() -> dict[str, Query]:
         "p3_report": p3_report,
         "p4_found": p4_found,
         "p4_groups": p4_groups,
+        "p5_found": p5_found,
+        "p5_variants": p5_variants,
     }
 
 
