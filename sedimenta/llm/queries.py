@@ -11,6 +11,7 @@ from ..session import Scratch
 from .doc_pairs import doc_pairs
 from .group_splits import group_splits, related_apps
 from .leakage import leaked_items, reparameterised_items
+from .mixture import mix
 from .near_duplicates import near_duplicates
 from .split_overlap import conversation_text, split_overlap
 
@@ -104,6 +105,20 @@ def p5_variants(spark: SparkSession, sf: str) -> DataFrame:
     return reparameterised_items(_table(spark, sf, "documents"), "doc_id", "text", _table(spark, sf, "benchmark"), "item_id", "text")
 
 
+def _mixture(spark: SparkSession, sf: str):
+    return mix(_table(spark, sf, "documents"), "doc_id", "text", "source", _table(spark, sf, "mix_targets"))
+
+
+def p6_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """The mixed corpus: one row per use of a text."""
+    return _mixture(spark, sf).copies()
+
+
+def p6_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Wanted and reached shares per source, with rates."""
+    return _mixture(spark, sf).report()
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": p1_found,
@@ -117,6 +132,8 @@ def queries() -> dict[str, Query]:
         "p4_groups": p4_groups,
         "p5_found": p5_found,
         "p5_variants": p5_variants,
+        "p6_mixture": p6_mixture,
+        "p6_report": p6_report,
     }
 
 
