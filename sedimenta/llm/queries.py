@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import Scratch
 from .doc_pairs import doc_pairs
+from .encoding import repair_encoding
 from .group_splits import group_splits, related_apps
 from .leakage import leaked_items, reparameterised_items
 from .mixture import mix
@@ -119,6 +120,25 @@ def p6_report(spark: SparkSession, sf: str) -> DataFrame:
     return _mixture(spark, sf).report()
 
 
+def _encodings(spark: SparkSession, sf: str):
+    return repair_encoding(_table(spark, sf, "documents"), "doc_id", "text")
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with characters read in a wrong encoding."""
+    return _encodings(spark, sf).found().withColumnRenamed("id", "doc_id")
+
+
+def p7_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    """These documents with their original text where it can be recovered."""
+    return _encodings(spark, sf).repaired().withColumnRenamed("id", "doc_id")
+
+
+def p7_mappings(spark: SparkSession, sf: str) -> DataFrame:
+    """The transformations and character mappings learned from clean twins."""
+    return _encodings(spark, sf).learned()
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": p1_found,
@@ -134,6 +154,9 @@ def queries() -> dict[str, Query]:
         "p5_variants": p5_variants,
         "p6_mixture": p6_mixture,
         "p6_report": p6_report,
+        "p7_found": p7_found,
+        "p7_repaired": p7_repaired,
+        "p7_mappings": p7_mappings,
     }
 
 
