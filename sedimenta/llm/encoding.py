@@ -179,6 +179,27 @@ def _cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(ids, batch.column(0).type), pa.array(keys, pa.int64()), pa.array(forms, pa.string())], ["id", "key", "form"])
 
 
+def fill(form: str, like: str) -> str:
+    """A spelling whose lost characters come from another of the same key, run by run; capital next to capitals."""
+    have, want = list(_BEYOND.finditer(form)), _BEYOND.findall(like)
+    if len(have) != len(want) or any(len(a.group()) != len(b) for a, b in zip(have, want)):
+        return form
+    out, at = [], 0
+    for m, b in zip(have, want):
+        before, after = form[m.start() - 1 : m.start()], form[m.end() : m.end() + 1]
+        capital = (before.isupper() or not before) and (after.isupper() or not after) and (before + after)
+        out += [form[at : m.start()], "".join((y.upper() if capital else y) if x == LOST else x for x, y in zip(m.group(), b))]
+        at = m.end()
+    return "".join(out) + form[at:]
+
+
+def _fill_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(key, form, fill(form, like) if like is not None else fixed) for key, form, fixed, like in zip(*(c.to_pylist() for c in batch.columns))]
+        columns = list(zip(*rows)) if rows else [[]] * 3
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string()))], ["key", "form", "fixed"])
+
+
 class Repair:
     """found(): garbled documents; repaired(): with their original text; learned(): the accepted mappings."""
 
@@ -247,13 +268,15 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
             rows = []
             for key, form, n in zip(*(c.to_pylist() for c in batch.columns)):
                 for original, c, damage, pairs in undo.word(form):
-                    rows.append((key, form, n, original, original.lower(), c, damage, [{"garbled": a, "original": b} for a, b in pairs]))
+                    rows.append((key, form, n, original, re.sub("[0-9]+", "0", original.lower()), c, damage, [{"garbled": a, "original": b} for a, b in pairs]))
             columns = list(zip(*rows)) if rows else [[]] * 8
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.list_(pa.struct([("garbled", pa.string()), ("original", pa.string())]))]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "form", "n", "original", "low", "chain", "damage", "pairs"])
 
-    spelled = forms.groupBy("key", F.lower("form").alias("low")).agg(F.sum("n").alias("clean"))
-    twins = forms.mapInArrow(guesses, guess_schema).where(F.lower("form") != F.col("low")).join(spelled, ["key", "low"]).where(F.col("clean") >= F.col("n"))
+    low = F.regexp_replace(F.lower("form"), "[0-9]+", "0")  # twins may differ in case and numbers
+    spelled = forms.groupBy("key", low.alias("low")).agg(F.sum("n").alias("clean"))
+    own = spelled.select("key", F.col("low").alias("own"), F.col("clean").alias("n_own"))
+    twins = forms.mapInArrow(guesses, guess_schema).withColumn("own", low).where("own <> low").join(spelled, ["key", "low"]).join(own, ["key", "own"]).where("clean >= n_own").drop("own", "n_own")
     twins = scratch.write(twins, "twins")
 
     # What each transformation explains; undamaged and better supported ones first.
@@ -302,11 +325,13 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string()))], ["key", "form", "fixed"])
 
     without = forms.join(best.select("key", "form"), ["key", "form"], "left_anti").select("key", "form").mapInArrow(rest, "key bigint, form string, fixed string")
-    # Lost characters: restored from the commonest clean spelling of the key that fits their number.
-    lost = without.where(F.col("form").contains(LOST))
-    choice = forms.where(~F.col("form").contains(LOST)).alias("c").join(lost.alias("l"), "key").where(F.expr(f"c.form rlike concat('^', replace('\\\\Q' || replace(l.form, '{LOST}', '\\\\E[^\\\\x00-\\\\x7f]\\\\Q') || '\\\\E', '\\\\Q\\\\E', ''), '$')"))
-    choice = choice.groupBy("key", F.col("l.form").alias("form")).agg(F.max_by("c.form", F.struct("c.n", "c.form")).alias("restored"))
-    without = without.join(choice, ["key", "form"], "left").select("key", "form", F.coalesce("restored", "fixed").alias("fixed"))
+    # Lost characters: restored from the commonest clean spelling of the key whose characters fit their places.
+    lost = without.where(F.col("form").contains(LOST)).select("key", low.alias("lost")).distinct()
+    pattern = F.concat(F.lit("^"), F.replace(F.regexp_replace("lost", r"([!-/:-@\[-`{-~])", r"\\$1"), F.lit(LOST), F.lit(r"[^\x00-\x7f]")), F.lit("$"))
+    choice = spelled.where(~F.col("low").contains(LOST)).join(lost, "key").where(F.rlike(F.col("low"), pattern))
+    choice = choice.groupBy("key", "lost").agg(F.max_by("low", F.struct("clean", "low")).alias("like"))
+    filled = without.withColumn("lost", low).join(choice, ["key", "lost"], "left").select("key", "form", "fixed", "like")
+    without = filled.mapInArrow(_fill_rows, "key bigint, form string, fixed string")
     garbled = scratch.write(best.select("key", "form", F.col("original").alias("fixed")).unionByName(without), "garbled")
     mappings = [(*CHAINS[c], d, a, b, n) for c, d, a, b, n in learned]
     return Repair(base, cell, garbled, mappings, scratch)
