@@ -19,11 +19,11 @@ def conversations(messages: Column) -> Column:
 
 
 def last_content(messages: Column) -> Column:
-    return F.try_element_at(messages, F.lit(-1))["content"]
+    return F.get(messages, F.size(messages) - 1)["content"]
 
 
 def first_content(messages: Column) -> Column:
-    return F.try_element_at(messages, F.lit(1))["content"]
+    return F.get(messages, F.lit(0))["content"]
 
 
 def preference(df: DataFrame, *keep: str) -> DataFrame:
