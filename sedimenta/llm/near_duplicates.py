@@ -53,21 +53,20 @@ class NearDuplicates:
         return inside.unionByName(across)
 
     def groups(self) -> DataFrame:
-        """(id, class, n_links, group): one row per record that has a near-duplicate or a copy.
+        """(id, copy_of, n_links, group): one row per record that has a near-duplicate or a copy.
 
-        n_links counts linked classes; group is the smallest class reached over links.
+        copy_of is the smallest id with the same shingle set (a class), n_links
+        counts the classes linked to it, group is the smallest id that links reach.
         """
         m = self.members
         degree = self.links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
         comp = components(self.links.select("a", "b"), self.scratch, "near")
-        size = m.groupBy("class").agg(F.count("*").alias("copies"))
-        return (
-            m.join(size, "class")
-            .join(degree, "class", "left")
-            .join(comp.select(F.col("node").alias("class"), F.col("root")), "class", "left")
-            .where((F.col("copies") > 1) | F.col("n_links").isNotNull())
-            .select("id", "class", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "class").alias("group"))
-        )
+        classes = m.groupBy("class").agg(F.min("id").alias("copy_of"), F.count("*").alias("copies"))
+        classes = classes.join(degree, "class", "left").where("copies > 1 or n_links is not null")
+        classes = classes.join(comp.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+        first = classes.groupBy("root").agg(F.min("copy_of").alias("group"))
+        named = classes.join(first, "root").select("class", "copy_of", F.coalesce("n_links", F.lit(0)).alias("n_links"), "group")
+        return m.join(named, "class").select("id", "copy_of", "n_links", "group")
 
 
 def _sketcher(shingle: int, min_words: int, bands: int, rows: int):

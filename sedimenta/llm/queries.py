@@ -161,4 +161,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .oracle import SQL
+
+    return SQL

@@ -136,7 +136,7 @@ def split_overlap(
 ) -> SplitOverlap:
     """Find records of ``held_out`` splits whose distinct word runs overlap a training record by ``threshold``.
 
-    ``split`` is compared without case and surrounding blanks. Defined results:
+    ``split`` is compared without case and blanks. Defined results:
     rows of other or null splits, null ids, null texts and texts of fewer than
     ``min_words`` words take no part; a null source is reported as null; rows
     repeated under one id count once; empty tables give empty tables; other
@@ -144,7 +144,7 @@ def split_overlap(
     training side: a block value is shared by chance by 2**-width of it.
     """
     scratch = scratch or Scratch(df.sparkSession, "splits")
-    s = F.lower(F.trim(split))
+    s = F.lower(F.regexp_replace(split, r"\s+", ""))
     base = df.select(F.col(id_col).alias("id"), text.alias("text"), F.when(s == train, 0).when(s.isin(*held_out), 1).cast("int").alias("side"), s.alias("split"), source.alias("source"))
     base = base.where(F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("side").isNotNull())
     run, names = _coder(shingle, min_words, bits, width, weak)
