@@ -42,7 +42,7 @@ def first_fence(col: Column) -> Column:
     tagged = F.regexp_extract(col, r"(?s)```al[ \t]*\n(.*?)```", 1)
     any_ = F.regexp_extract(col, r"(?s)```[^\n]*\n(.*?)```", 1)
     hit = F.when(F.rlike(col, F.lit(r"(?s)```al[ \t]*\n.*?```")), tagged).when(F.rlike(col, F.lit(r"(?s)```[^\n]*\n.*?```")), any_)
-    return F.trim(hit)
+    return trim_all(hit)
 
 
 def body_loc(body: Column) -> Column:

@@ -47,16 +47,16 @@ def shared_shingle_pairs(df: DataFrame, id_col: str, text: Column, *, k: int = 5
     flat = sets.select("id", "n", F.explode("s").alias("sh")).select("id", "n", F.xxhash64("sh").alias("h"))
     df_count = flat.groupBy("h").agg(F.count("*").alias("f"))
     ranked = flat.join(df_count, "h")
-    prefix = ranked.withColumn("r", F.row_number().over(W.partitionBy("id").orderBy("f", "h"))).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * F.lit(threshold)) + 1)
+    prefix = ranked.withColumn("r", F.row_number().over(W.partitionBy("id").orderBy("f", "h"))).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1)
     prefix = prefix.where("f > 1").select("id", "n", "h")
     x, y = prefix.alias("x"), prefix.alias("y")
-    cand = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id")) & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.lit(threshold)))
+    cand = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id")) & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.lit(threshold) - 1e-9))
     cand = cand.select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b")).distinct()
     a = sets.select(F.col("id").alias("id_a"), F.col("s").alias("sa"))
     b = sets.select(F.col("id").alias("id_b"), F.col("s").alias("sb"))
     both = cand.join(a, "id_a").join(b, "id_b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
     j = F.col("i") / (F.size("sa") + F.size("sb") - F.col("i"))
-    return both.select("id_a", "id_b", j.alias("jaccard")).where(F.col("jaccard") >= threshold)
+    return both.select("id_a", "id_b", j.alias("jaccard")).where(F.col("jaccard") >= threshold - 1e-12)
 
 
 def minhash_bands(df: DataFrame, id_col: str, text: Column, *scope: str, k: int = 5, perms: int = 55, rows: int = 11) -> DataFrame:

@@ -49,7 +49,7 @@ def read_tree(spark: SparkSession, root: str, glob: str = "*.al") -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
     base = F.lit(root.rstrip("/") + "/")
     bare = F.regexp_replace("path", "^file:/*", "/")
-    return files.select(F.replace(bare, base, F.lit("")).alias("path"), F.decode("content", "UTF-8").alias("content"), F.col("length").alias("n_bytes"))
+    return files.select(F.replace(bare, base, F.lit("")).alias("path"), F.make_valid_utf8(F.col("content").cast("string")).alias("content"), F.col("length").alias("n_bytes"))
 
 
 def app_folders(paths: DataFrame, manifest: str = "app.json", excluded: str = ".alpackages") -> DataFrame:
