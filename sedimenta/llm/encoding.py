@@ -328,8 +328,8 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
     # Lost characters: restored from the commonest clean spelling of the key whose characters fit their places.
     lost = without.where(F.col("form").contains(LOST)).select("key", low.alias("lost")).distinct()
     pattern = F.concat(F.lit("^"), F.replace(F.regexp_replace("lost", r"([!-/:-@\[-`{-~])", r"\\$1"), F.lit(LOST), F.lit(r"[^\x00-\x7f]")), F.lit("$"))
-    choice = spelled.where(~F.col("low").contains(LOST)).join(lost, "key").where(F.rlike(F.col("low"), pattern))
-    choice = choice.groupBy("key", "lost").agg(F.max_by("low", F.struct("clean", "low")).alias("like"))
+    cased = forms.where(~F.col("form").contains(LOST)).groupBy("key", F.regexp_replace("form", "[0-9]+", "0").alias("like")).agg(F.sum("n").alias("n"))
+    choice = cased.join(lost, "key").where(F.rlike(F.lower("like"), pattern)).groupBy("key", "lost").agg(F.max_by("like", F.struct("n", "like")).alias("like"))
     filled = without.withColumn("lost", low).join(choice, ["key", "lost"], "left").select("key", "form", "fixed", "like")
     without = filled.mapInArrow(_fill_rows, "key bigint, form string, fixed string")
     garbled = scratch.write(best.select("key", "form", F.col("original").alias("fixed")).unionByName(without), "garbled")
