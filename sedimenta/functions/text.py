@@ -23,9 +23,13 @@ def hash_bucket(key: Column, n: int) -> Column:
 
 def shingles(normalised: Column, k: int = 5) -> Column:
     """Distinct runs of k blank-separated words; a shorter text is one shingle of all its words."""
-    words = F.split(normalised, " ")
-    n = F.greatest(F.lit(1), F.size(words) - (k - 1))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(words, i, F.lit(k)), " ")))
+
+    # the array is bound once; written into the inner lambda it would be split again for every run
+    def runs(words: Column) -> Column:
+        n = F.greatest(F.lit(1), F.size(words) - (k - 1))
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(words, i, F.lit(k)), " ")))
+
+    return F.get(F.transform(F.array(F.split(normalised, " ")), runs), F.lit(0))
 
 
 def without_comment_markers(col: Column) -> Column:

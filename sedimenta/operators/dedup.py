@@ -65,7 +65,7 @@ def minhash_bands(df: DataFrame, id_col: str, text: Column, *scope: str, k: int
     One explode and one aggregation; the minima combine before the shuffle, so
     a row leaves its task as ``perms`` numbers. Bands of different scopes differ.
     """
-    flat = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(*scope).alias("sc") if scope else F.lit(0).alias("sc"), F.explode(shingles(norm(text), k)).alias("sh"))
+    flat = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(*scope).alias("sc") if scope else F.lit(0).alias("sc"), F.explode(shingles(norm(text), k)).alias("s")).select("id", "sc", F.xxhash64("s").alias("sh"))
     low = flat.groupBy("id", "sc").agg(*[F.min(F.xxhash64("sh", F.lit(i))).alias(f"m{i}") for i in range(perms)])
     keys = [F.xxhash64("sc", F.lit(b), *[f"m{i}" for i in range(b * rows, (b + 1) * rows)]) for b in range(perms // rows)]
     return low.select("id", F.explode(F.array(*keys)).alias("band"))
@@ -81,6 +81,7 @@ def keep_first(ids: DataFrame, bands: DataFrame, scratch: Scratch, max_rounds: i
     formed, so a band of a third of all rows costs its rows and no more.
     """
     name = ids.columns[0]
+    bands = scratch.write(bands, "all-bands")
     many = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     held = scratch.write(bands.join(many, "band").distinct(), "bands")
     state = scratch.write(held.select("id").distinct().withColumn("state", F.lit(0)), "state0")

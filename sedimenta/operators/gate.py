@@ -121,12 +121,19 @@ def brackets_check(text: str) -> list[str]:
     for a, b in (("(", ")"), ("[", "]"), ("{", "}")):
         if low.count(a) != low.count(b):
             out.append("AL0104")
+    in_case, then = False, [i for i, w in enumerate(low) if w == "then"]
+    after = 0
     for i, w in enumerate(low):
-        if w == "else" and i and low[i - 1] == ";" and "case" not in low[:i]:
+        if w == "case":
+            in_case = True
+        elif w == "else" and i and low[i - 1] == ";" and not in_case:
             out.append("AL0110")
-        if w == "if" and "then" not in low[i : i + 60]:
-            out.append("AL0104")
-        if w == "var" and i + 1 < len(low) and low[i + 1] in ("begin", "then", "end", "case", "trigger", "procedure") and i + 2 < len(low) and low[i + 2] == ":":
+        elif w == "if":
+            while after < len(then) and then[after] < i:
+                after += 1
+            if after == len(then) or then[after] >= i + 60:
+                out.append("AL0104")
+        elif w == "var" and i + 2 < len(low) and low[i + 1] in ("begin", "then", "end", "case", "trigger", "procedure") and low[i + 2] == ":":
             out.append("AL0105")
     known = set()
     begin = low.index("begin") if "begin" in low else len(low)
