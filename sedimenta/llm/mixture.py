@@ -117,7 +117,8 @@ def mix(documents: DataFrame, doc_id: str, text_col: str, source_col: str, targe
     wanted = {r["source"]: (r["target_share"], r["max_repeats"]) for r in rows}
 
     base = documents.select(F.col(doc_id).alias("doc_id"), F.col(text_col).alias("text"), source_key(F.col(source_col)).alias("source")).where("doc_id is not null and length(text) > 0")
-    base = base.join(t.where("target_share > 0").select("source"), "source", "left_semi").withColumn("h1", F.xxhash64("text")).withColumn("h2", F.hash("text"))
+    some = spark.createDataFrame([(s,) for s, (share, _) in wanted.items() if share > 0], "source string")  # bounded above, so it may be broadcast
+    base = base.join(F.broadcast(some), "source", "left_semi").withColumn("h1", F.xxhash64("text")).withColumn("h2", F.hash("text"))
     sized = scratch.write(token_counts(base, ["doc_id", "source", "h1", "h2"], "text", tokenizer), "sized")
     texts = sized.groupBy("h1", "h2", "n_tokens").agg(F.min(F.struct("doc_id", "source")).alias("d")).select("d.doc_id", "d.source", "n_tokens")
     texts = scratch.write(texts, "texts")
@@ -126,7 +127,7 @@ def mix(documents: DataFrame, doc_id: str, text_col: str, source_col: str, targe
     rates = repetition_rates(have, wanted, total_tokens if total_tokens is not None else sum(have.values()))
     table = spark.createDataFrame([(s, *wanted[s], rates[s]) for s in sorted(wanted)], "source string, target_share double, max_repeats int, rate double")
     u = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    rated = texts.join(table.select("source", "rate"), "source")
+    rated = texts.join(F.broadcast(table.select("source", "rate")), "source")
     copies = (F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
     used = rated.withColumn("copies", copies).where("copies > 0").select("doc_id", "source", "n_tokens", "copies")
     full = table.join(stats, "source", "left").select("source", "target_share", "max_repeats", F.coalesce("n_texts", F.lit(0)).alias("n_texts"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), F.round("rate", 6).alias("rate"))
