@@ -171,6 +171,15 @@ SQL = {
       sha1(array_to_string(list_transform(messages, lambda x: x.content), chr(10))) AS text_sha FROM c""",
     "preference_pairs": f"WITH {_C} SELECT cand_id, sha1(first_text) AS prompt_sha, sha1(messages[-1].content) AS chosen_sha, sha1(rejected_al) AS rejected_sha FROM c WHERE length(rejected_al) > 0",
     "assembled_parts": f"WITH {_ROUTED} SELECT gen, part, count(*) AS n FROM parts GROUP BY ALL",
+    "datacard": f"""WITH {_ROUTED}, b AS (SELECT gen, count(*) FILTER (part <> 'heldout') AS n, count(*) FILTER (part = 'heldout') AS h FROM parts WHERE part <> 'capped' GROUP BY gen),
+      n AS (SELECT count(*) AS n_rows, count(*) FILTER (part = 'train') AS n_train, count(*) FILTER (part = 'val') AS n_val, count(*) FILTER (part = 'preference') AS n_preference, count(*) FILTER (part = 'heldout') AS n_heldout, count(*) FILTER (part = 'capped') AS n_capped FROM parts)
+      SELECT n.*, (SELECT '{{' || string_agg('"' || gen || '":' || n, ',' ORDER BY gen) || '}}' FROM b) AS by_gen, (SELECT '{{' || string_agg('"' || gen || '":' || h, ',' ORDER BY gen) || '}}' FROM b) AS heldout_by_gen FROM n""",
+    "prose_filter": rf"""WITH l AS (SELECT doc_id, text, k, regexp_replace(regexp_replace(x, '^\s+', ''), '\s+$', '') AS line FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS k, unnest(string_split(text, chr(10))) AS x FROM documents WHERE text IS NOT NULL)),
+      f AS (SELECT *, starts_with(line, '```') AS mark, sum(starts_with(line, '```')::INT) OVER (PARTITION BY doc_id ORDER BY k) % 2 = 1 AS fence FROM l WHERE line <> ''),
+      r AS (SELECT doc_id, count(*) FILTER (NOT mark AND NOT fence) AS total, count(*) FILTER (NOT mark AND NOT fence AND NOT regexp_matches(line, '^[-*>\s]*\[[^\]]+\]\([^)]+\)[.\s]*$') AND NOT regexp_matches(line, '^(\||!\[|\[//\]|\[!INCLUDE|\[!NOTE|\[!TIP|\[!IMPORTANT|&emsp;|<)')) AS prose FROM f GROUP BY doc_id),
+      p AS (SELECT d.doc_id, text, CASE WHEN coalesce(total, 0) > 0 THEN prose / total ELSE 0.0 END AS ratio, regexp_replace(text, '(?s)```.*?```', ' ', 'g') AS bare FROM documents d LEFT JOIN r ON d.doc_id = r.doc_id WHERE text IS NOT NULL)
+      SELECT doc_id, round(ratio, 6) AS prose_ratio, length(text) BETWEEN 150 AND 6000 AND length(trim(regexp_replace(bare, '\[[^\]]+\]\([^)]+\)|[|>*#`_-]', '', 'g'))) >= 150
+        AND (regexp_matches(text, '(?im)^\s*```\s*(al|c#|csharp|pascal)') OR (ratio >= 0.60 AND len(regexp_extract_all(bare, '[.!?](\s|$)')) >= 2)) AS teaches FROM p""",
     "incremental_dedup": f"SELECT count(DISTINCT {_norm('text')}) AS n_kept FROM documents",
     "events_per_day": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY ALL",
 }
