@@ -34,6 +34,12 @@ SQL = {
     "p1_report": f"WITH {_P1} SELECT part AS split, repo, count(DISTINCT id) AS n_records, count(DISTINCT CASE WHEN id IN (SELECT a FROM pairs) THEN id END) AS n_leaked FROM (SELECT g.*, w.id AS wid FROM g JOIN w ON g.id = w.id) WHERE part IN ('val', 'heldout', 'test') GROUP BY ALL",
     "p3_found": f"WITH RECURSIVE {_RELATED} SELECT a AS app_id_a, b AS app_id_b FROM r WHERE a < b",
     "p4_found": f"WITH {_M}, t AS (SELECT member_id AS id, member_text AS t FROM m), {_pairs('t')} SELECT a AS member_id_a, b AS member_id_b FROM pairs",
+    "p4_groups": f"""WITH RECURSIVE {_M}, t AS (SELECT member_id AS id, member_text AS t FROM m), {_pairs('t')},
+      k AS (SELECT id, min(id) OVER (PARTITION BY list_sort(s)) AS copy_of, count(*) OVER (PARTITION BY list_sort(s)) AS copies FROM s),
+      l AS (SELECT DISTINCT x.copy_of AS a, y.copy_of AS b FROM pairs JOIN k x ON pairs.a = x.id JOIN k y ON pairs.b = y.id WHERE x.copy_of <> y.copy_of),
+      e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+      g AS (SELECT a, min(least(a, b)) AS grp FROM r GROUP BY a), d AS (SELECT a, count(DISTINCT b) AS n FROM e GROUP BY a)
+      SELECT id AS member_id, copy_of, coalesce(d.n, 0) AS n_links, coalesce(g.grp, copy_of) AS "group" FROM k LEFT JOIN d ON copy_of = d.a LEFT JOIN g ON copy_of = g.a WHERE copies > 1 OR d.n IS NOT NULL""",
     "p5_found": rf"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM documents), i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM benchmark),
       x AS (SELECT doc_id, unnest({_TWELVE}) AS s FROM d WHERE len(w) >= 12), y AS (SELECT item_id, unnest({_TWELVE}) AS s FROM i WHERE len(w) >= 12)
       SELECT DISTINCT doc_id, item_id FROM x JOIN y ON x.s = y.s""",
