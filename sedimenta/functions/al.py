@@ -202,3 +202,32 @@ def _comments_above(src: str) -> dict[int, str]:
 def signature_key(signature: str) -> str:
     """A signature without case and blanks, to tell overloads apart."""
     return re.sub(r"\s+", "", signature).lower()
+
+
+def find_member(src: str, name: str, signature: str | None = None) -> Member | None:
+    """The member of that name; among overloads the one with that signature, else the first; null if there is none."""
+    found = [m for o in objects(src) for m in o.members if m.name.lower() == name.strip('"').lower()]
+    exact = [m for m in found if signature is not None and signature_key(m.signature) == signature_key(signature)]
+    return next(iter(exact or found), None)
+
+
+def splice(src: str, member: Member, text: str) -> str:
+    """The source with another text in the member's place."""
+    return src[: member.start] + text + src[member.end :]
+
+
+def with_object_id(text: str, number: int) -> str:
+    """An object's text under another id: only the id of its first declaration changes."""
+    toks = tokens(text)
+    for a, b in zip(toks, toks[1:]):
+        if a.kind == "word" and a.low in OBJECT_KINDS and b.kind == "number":
+            return text[: b.start] + str(number) + text[b.end :]
+    return text
+
+
+def wrapped(text: str, number: int = 50000) -> tuple[str, int]:
+    """A text that is no object inside one, and by how many lines that shifts it."""
+    first = next((t for t in tokens(text)), None)
+    if first is not None and first.low in OBJECT_KINDS:
+        return text, 0
+    return f'codeunit {number} "Wrapper"\n{{\n{text}\n}}\n', 2

@@ -64,3 +64,9 @@ def without_fences(text: Column) -> Column:
 def trim_all(col: Column) -> Column:
     """Trim of every kind of whitespace, not of blanks alone."""
     return F.regexp_replace(col, r"^\s+|\s+$", "")
+
+
+def major_minor(version: Column, fallback: str = "0.0") -> Column:
+    """The first two numbers of a version; the fallback where there are none."""
+    v = F.regexp_extract(F.coalesce(version, F.lit("")), r"^\s*v?(\d+\.\d+)", 1)
+    return F.when(v != "", v).otherwise(fallback)

@@ -149,3 +149,29 @@ def test_baselines(spark):
     files = spark.createDataFrame([(1, "begin end"), (2, "begin"), (2, "x"), (None, "y")], "app long, text string")
     got = {r.app: (r.error_clean, r.n_errors, r.error_codes) for r in gate.baselines(apps, files, gate.brackets_check).collect()}
     assert got == {1: (True, 0, []), 2: (False, 1, ["AL0104"]), 3: (True, 0, [])}
+
+
+def test_find_splice_and_wrap():
+    src = "codeunit 5 X { procedure A(I: Integer) begin one(); end; procedure A(T: Text) begin two(); end; }"
+    assert "two" in al.find_member(src, "a", "procedure A( T:Text )").text and "one" in al.find_member(src, "A", "procedure A(Z: Guid)").text
+    assert al.find_member(src, "B") is None
+    m = al.find_member(src, "A", "procedure A(T: Text)")
+    out = al.splice(src, m, "procedure B() begin end;")
+    assert [x.name for x in al.objects(out)[0].members] == ["A", "B"]
+    assert al.with_object_id(src, 77).startswith("codeunit 77 X") and al.with_object_id("procedure A()", 7) == "procedure A()"
+    assert al.wrapped(src) == (src, 0) and al.wrapped("procedure A() begin end;")[1] == 2
+
+
+def test_fix_loop_ends():
+    def analyze(t):
+        return [repair.Finding(i + 1, 1, "FC1", severity="warning") for i, x in enumerate(t.split("\n")) if x.endswith(" ")]
+
+    def fix(t, f):
+        lines = t.split("\n")
+        lines[f.line - 1] = lines[f.line - 1].rstrip()
+        return "\n".join(lines)
+
+    assert repair.apply_fixes("a \nb\nc ", analyze, fix) == ("a\nb\nc", ["FC1", "FC1"])
+    flip = lambda t, f: t.replace("a", "b ") if "a" in t else t.replace("b", "a")
+    assert len(repair.apply_fixes("a ", analyze, flip)[1]) <= 6
+    assert repair.strategy("X", {}) == "model" and repair.strategy("X", {"X": "deterministic"}) == "deterministic"

@@ -44,6 +44,11 @@ def test_place_takes_the_deepest_app(spark):
     assert place(p.limit(0), apps).count() == 0 and place(p, apps.limit(0)).count() == 0
 
 
+def test_versions(spark):
+    df = spark.createDataFrame([("24.1.3.0",), ("v7.2",), ("x",), (None,)], "v string")
+    assert [r[0] for r in df.select(X.major_minor(F.col("v"))).collect()] == ["24.1", "7.2", "0.0", "0.0"]
+
+
 def test_loc_of_any_body(spark):
     bodies = ["", "a", "a\n", "a\nb", "\n", None]
     df = spark.createDataFrame([(b,) for b in bodies], "b string")
