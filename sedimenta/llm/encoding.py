@@ -1,6 +1,6 @@
 """Garbled text from wrong character encoding: found by clean twins, learned, repaired.
 
-A cell is a word with characters beyond ASCII; its key is the word without them
+A cell is a word with characters beyond ASCII, counted with its numbers masked; its key is the word without them
 (numbers masked), or, where little is left, with its neighbours' too. Garbled
 and clean spellings of a word share that key, so they meet in a hash join: for
 each spelling, every transformation (bytes of one encoding read as another,
@@ -87,6 +87,19 @@ def garble(text: str, chain: tuple[str, str], damage: str = "") -> str:
     return out
 
 
+def spelled(core: str) -> str:
+    """A word as it is counted: every number as 0, so that amounts do not make new spellings."""
+    return re.sub("[0-9]+", "0", core)
+
+
+def respell(core: str, fixed: str) -> str | None:
+    """A word with the characters beyond ASCII of its repaired spelling; null if their places differ."""
+    runs, gaps = _BEYOND.findall(fixed), _BEYOND.split(core)
+    if len(gaps) != len(runs) + 1:
+        return None
+    return gaps[0] + "".join(r + g for r, g in zip(runs, gaps[1:]))
+
+
 def mask(word: str) -> str:
     """A word without characters beyond ASCII: letters in lower case, each number as 0."""
     return re.sub(r"\d+", "0", re.sub(r"[^a-z0-9]+", "", _BEYOND.sub("", word).lower()))
@@ -94,19 +107,20 @@ def mask(word: str) -> str:
 
 def cells(text: str) -> Iterator[tuple[int, int, str, int]]:
     """(start, end, spelling, key) of the words of an unescaped text that hold characters beyond ASCII."""
-    words = list(_TOKEN.finditer(text))
-    for n, m in enumerate(words):
+    before = after = None
+    ahead = _TOKEN.finditer(text)
+    m = next(ahead, None)
+    while m is not None:
+        after = next(ahead, None)
         word = m.group()
-        if word.isascii():
-            continue
-        core = _EDGE.sub("", word)
-        at = m.start() + word.index(core)
-        own = mask(core)
-        if sum(c.isalpha() for c in own) >= 2:
-            key = own
-        else:
-            key = f"{mask(words[n - 1].group()) if n else ''} {own} {mask(words[n + 1].group()) if n + 1 < len(words) else ''}"
-        yield at, at + len(core), core, xxhash.xxh3_64_intdigest(key) - (1 << 63)
+        if not word.isascii():
+            core = _EDGE.sub("", word)
+            at = m.start() + word.index(core)
+            key = own = mask(core)
+            if sum(c.isalpha() for c in own) < 2:
+                key = f"{mask(before.group()) if before else ''} {own} {mask(after.group()) if after else ''}"
+            yield at, at + len(core), core, xxhash.xxh3_64_intdigest(key) - (1 << 63)
+        before, m = m, after
 
 
 class Undo:
@@ -172,7 +186,7 @@ def _cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, keys, forms = [], [], []
         for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             text = unescape(text)
-            for key, form in {(key, form) for _, _, form, key in cells(text)} if not text.isascii() else ():
+            for key, form in {(key, spelled(core)) for _, _, core, key in cells(text)} if not text.isascii() else ():
                 ids.append(rid)
                 keys.append(key)
                 forms.append(form)
@@ -225,11 +239,12 @@ class Repair:
                     known = {(f["key"], f["form"]): f["fixed"] for f in fixed}
                     text = unescape(text)
                     out, at, ok = [], 0, True
-                    for start, end, form, key in cells(text):
+                    for start, end, core, key in cells(text):
+                        form = spelled(core)
                         if (key, form) in known:
-                            better = known[key, form]
+                            better = known[key, form] and respell(core, known[key, form])
                             ok = ok and better is not None and LOST not in better
-                            out += [text[at:start], form if better is None else better]
+                            out += [text[at:start], core if better is None else better]
                             at = end
                     ids.append(rid)
                     texts.append("".join(out) + text[at:])
@@ -268,15 +283,15 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
             rows = []
             for key, form, n in zip(*(c.to_pylist() for c in batch.columns)):
                 for original, c, damage, pairs in undo.word(form):
-                    rows.append((key, form, n, original, re.sub("[0-9]+", "0", original.lower()), c, damage, [{"garbled": a, "original": b} for a, b in pairs]))
+                    rows.append((key, form, n, original, original.lower(), c, damage, [{"garbled": a, "original": b} for a, b in pairs]))
             columns = list(zip(*rows)) if rows else [[]] * 8
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.list_(pa.struct([("garbled", pa.string()), ("original", pa.string())]))]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "form", "n", "original", "low", "chain", "damage", "pairs"])
 
-    low = F.regexp_replace(F.lower("form"), "[0-9]+", "0")  # twins may differ in case and numbers
-    spelled = forms.groupBy("key", low.alias("low")).agg(F.sum("n").alias("clean"))
-    own = spelled.select("key", F.col("low").alias("own"), F.col("clean").alias("n_own"))
-    twins = forms.mapInArrow(guesses, guess_schema).withColumn("own", low).where("own <> low").join(spelled, ["key", "low"]).join(own, ["key", "own"]).where("clean >= n_own").drop("own", "n_own")
+    low = F.lower("form")  # twins may differ in case
+    common = forms.groupBy("key", low.alias("low")).agg(F.sum("n").alias("clean"))
+    own = common.select("key", F.col("low").alias("own"), F.col("clean").alias("n_own"))
+    twins = forms.mapInArrow(guesses, guess_schema).withColumn("own", low).where("own <> low").join(common, ["key", "low"]).join(own, ["key", "own"]).where("clean >= n_own").drop("own", "n_own")
     twins = scratch.write(twins, "twins")
 
     # What each transformation explains; undamaged and better supported ones first.
@@ -328,7 +343,7 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
     # Lost characters: restored from the commonest clean spelling of the key whose characters fit their places.
     lost = without.where(F.col("form").contains(LOST)).select("key", low.alias("lost")).distinct()
     pattern = F.concat(F.lit("^"), F.replace(F.regexp_replace("lost", r"([!-/:-@\[-`{-~])", r"\\$1"), F.lit(LOST), F.lit(r"[^\x00-\x7f]")), F.lit("$"))
-    cased = forms.where(~F.col("form").contains(LOST)).groupBy("key", F.regexp_replace("form", "[0-9]+", "0").alias("like")).agg(F.sum("n").alias("n"))
+    cased = forms.where(~F.col("form").contains(LOST)).select("key", F.col("form").alias("like"), "n")
     choice = cased.join(lost, "key").where(F.rlike(F.lower("like"), pattern)).groupBy("key", "lost").agg(F.max_by("like", F.struct("n", "like")).alias("like"))
     filled = without.withColumn("lost", low).join(choice, ["key", "lost"], "left").select("key", "form", "fixed", "like")
     without = filled.mapInArrow(_fill_rows, "key bigint, form string, fixed string")

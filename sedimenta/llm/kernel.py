@@ -46,12 +46,12 @@ _POW: dict[str, np.ndarray] = {}
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POW.get("up")
     if have is None or len(have) <= n:
-        size = max(n + 1, PIECE + 1)
+        size = max(n + 1, 4 * PIECE + 1)
         for name, base in (("up", _BASE), ("down", _BASE_INV)):
             p = np.full(size, base, U64)
             p[0] = 1
             _POW[name] = np.cumprod(p, dtype=U64)
-        if size > 4 * PIECE:  # one very long text: don't keep its tables
+        if size > 16 * PIECE:  # one very long word: its tables are not kept
             return _POW.pop("up"), _POW.pop("down")
     return _POW["up"], _POW["down"]
 
@@ -86,26 +86,42 @@ def words(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """Document number and hash of every word, in order.
 
     A word is a maximal run of ASCII letters, digits and underscore, lower-cased.
-    ``offsets`` select the documents; numbers count from 0 within them.
+    ``offsets`` select the documents; numbers count from 0 within them. Long
+    ranges are hashed stretch by stretch, cut between words, so that working
+    memory follows the stretch.
     """
     lo, hi = int(offsets[0]), int(offsets[-1])
-    if hi == lo:
+    docs, hashes = [], []
+    while lo < hi:
+        end = min(hi, lo + 4 * PIECE)
+        while end < hi and _LUT[raw[end]] and _LUT[raw[end - 1]]:
+            ahead = np.flatnonzero(_LUT[raw[end : end + PIECE]] == 0)
+            end = min(hi, end + (int(ahead[0]) if len(ahead) else PIECE))
+        s, h = _stretch(raw[lo:end], offsets[np.searchsorted(offsets, lo) : np.searchsorted(offsets, end, side="right")] - lo)
+        docs.append(np.searchsorted(offsets, s + lo, side="right") - 1)
+        hashes.append(h)
+        lo = end
+    if not docs:
         return np.zeros(0, np.int64), np.zeros(0, U64)
-    c = _LUT[raw[lo:hi]]
+    return np.concatenate(docs), np.concatenate(hashes)
+
+
+def _stretch(raw: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of the words of some bytes; words also end at the borders."""
+    n = len(raw)
+    c = _LUT[raw]
     inside = c != 0
-    border = np.zeros(hi - lo + 1, bool)
-    border[offsets - lo] = True
+    border = np.zeros(n + 1, bool)
+    border[borders[borders <= n]] = True
     begins = inside.copy()
     begins[1:] &= ~inside[:-1] | border[1:-1]
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | border[1:-1]
     s, e = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = _powers(hi - lo)
-    acc = np.zeros(hi - lo + 1, U64)
-    np.cumsum(_CHAR[c] * up[: hi - lo], out=acc[1:])
-    h = mix((acc[e] - acc[s]) * down[s] + (e - s).astype(U64))
-    doc = np.searchsorted(offsets - lo, s, side="right") - 1
-    return doc, h
+    up, down = _powers(n)
+    acc = np.zeros(n + 1, U64)
+    np.cumsum(_CHAR[c] * up[:n], out=acc[1:])
+    return s, mix((acc[e] - acc[s]) * down[s] + (e - s).astype(U64))
 
 
 def shingles(doc: np.ndarray, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -57,14 +57,20 @@ def token(word: str) -> tuple[int, int, bool]:
     return known
 
 
-def _windows(size: int, with_slots: bool, wanted: np.ndarray | None):
-    """mapInArrow over (id, text): the windows of each text, or of ``wanted`` hashes only where that set is given."""
+def _windows(size: int, with_slots: bool, wanted: np.ndarray | None, stretch: int = 200_000):
+    """mapInArrow over (id, text): the windows of each text, or of ``wanted`` hashes only where that set is given.
 
-    def flush(ids: list, docs: list[int], t: list[int], x: list[int], slot: list[bool]) -> pa.RecordBatch | None:
-        doc, th, xh = np.array(docs, np.int64), np.array(t, U64), np.array(x, U64)
-        n = len(doc) - size + 1
+    Tokens are worked off in stretches; a text that is longer leaves the last
+    ``size - 1`` tokens of a stretch to the next one.
+    """
+
+    def flush(ids: list, docs: list[int], at: list[int], found: list[tuple[int, int, bool]]) -> pa.RecordBatch | None:
+        n = len(docs) - size + 1
         if n <= 0:
             return None
+        doc = np.array(docs, np.int64)
+        t, x, slot = zip(*found)
+        th, xh = np.array(t, U64), np.array(x, U64)
         keep = doc[:n] == doc[size - 1 :]
         template, exact = np.zeros(n, U64), np.zeros(n, U64)
         for i in range(size):
@@ -72,13 +78,12 @@ def _windows(size: int, with_slots: bool, wanted: np.ndarray | None):
             exact = exact * U64(0x8CB92BA72F3D8DD7) + xh[i : i + n]
         template, exact = K.mix(template).view(np.int64), K.mix(exact).view(np.int64)
         if wanted is not None:
-            at = np.searchsorted(wanted, template)
-            keep &= wanted[np.minimum(at, len(wanted) - 1)] == template if len(wanted) else False
+            here = np.searchsorted(wanted, template)
+            keep &= wanted[np.minimum(here, len(wanted) - 1)] == template if len(wanted) else False
         pos = np.flatnonzero(keep)
         if not len(pos):
             return None
-        first = np.searchsorted(doc, doc[pos], side="left")
-        columns = [pa.array([ids[d] for d in doc[pos]]), pa.array((pos - first).astype(np.int32)), pa.array(template[pos]), pa.array(exact[pos])]
+        columns = [pa.array([ids[d] for d in doc[pos]]), pa.array(np.array(at, np.int32)[pos]), pa.array(template[pos]), pa.array(exact[pos])]
         names = ["id", "pos", "template", "exact"]
         if with_slots:
             values = np.where(np.array(slot), xh.view(np.int64), 0)
@@ -89,23 +94,23 @@ def _windows(size: int, with_slots: bool, wanted: np.ndarray | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, docs, t, x, slot = [], [], [], [], []
-            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                docs_at = len(ids)
+            ids, docs, at, found = [], [], [], []
+            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                n = len(ids)
                 ids.append(rid)
-                tokens = [token(w) for w in WORD.findall(text)]
-                if len(tokens) >= size:
-                    a, b, c = zip(*tokens)
-                    docs += [docs_at] * len(a)
-                    t += a
-                    x += b
-                    slot += c
-                if len(docs) > 200_000:
-                    out = flush(ids, docs, t, x, slot)
-                    if out is not None:
-                        yield out
-                    ids, docs, t, x, slot = [], [], [], [], []
-            out = flush(ids, docs, t, x, slot)
+                text = text.as_py()
+                for pos, word in enumerate(WORD.findall(text) if len(text) < K.PIECE else (m.group() for m in WORD.finditer(text))):
+                    docs.append(n)
+                    at.append(pos)
+                    found.append(token(word))
+                    if len(docs) >= stretch:
+                        out = flush(ids, docs, at, found)
+                        if out is not None:
+                            yield out
+                        keep = min(size - 1, pos + 1)
+                        ids, n = [rid], 0
+                        docs, at, found = [0] * keep, at[len(at) - keep :], found[len(found) - keep :]
+            out = flush(ids, docs, at, found)
             if out is not None:
                 yield out
 

@@ -72,6 +72,10 @@ def test_kernel_very_long_text():
     off, raw = K.buffers(pa.array(["a b c", text]))
     n = sum(len(K.words(off[i : j + 1], raw)[1]) for i, j in K.pieces(off))
     assert n == 3 + 1_200_000
+    one = "x" * 9_000_000
+    off, raw = K.buffers(pa.array([one, "a " + one + " b", "é" * 5_000_000 + "z"]))
+    doc, h = K.words(off, raw)
+    assert doc.tolist() == [0, 1, 1, 1, 2] and h[0] == h[2]
 
 
 def test_bucket_pairs_and_streaming():

@@ -115,6 +115,17 @@ def test_leaks_equal_brute_force(spark):
     assert leaked_items(df, "doc_id", "text", it.limit(0), "item_id", "text").count() == 0
 
 
+def test_long_texts_are_read_in_stretches(monkeypatch, spark):
+    import pyarrow as pa
+
+    from sedimenta.llm import leakage
+
+    texts = [" ".join(f"w{(i * 7 + k) % 50}" for i in range(300)) for k in range(3)] + ["short text", ""]
+    batch = pa.record_batch([pa.array(range(5)), pa.array(texts)], ["id", "text"])
+    flat = lambda stretch: sorted(tuple(r.items()) for b in leakage._windows(12, False, None, stretch)(iter([batch])) for r in b.to_pylist())
+    assert flat(10**6) == flat(37) == flat(12) and len(flat(37)) == 3 * 289
+
+
 def test_reparameterised_items(spark):
     item = "Add a guard to CollectStandardShift which compares CheckLegacyContract with RegisterRankedLadder and raises code 5995 when CollectStandardShift is older than 30 days in the batch run"
     swap = {"CollectStandardShift": "AssignForeignCrane", "CheckLegacyContract": "OpenModularKiln", "RegisterRankedLadder": "CloseExpiredDepot", "5995": "17", "30": "8"}
