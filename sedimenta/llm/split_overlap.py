@@ -149,12 +149,13 @@ def split_overlap(
     base = base.where(F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("side").isNotNull())
     run, names = _coder(shingle, min_words, bits, width, weak)
     id_type = base.schema["id"].dataType.simpleString()
-    coded = base.select("id", "text", "side").mapInArrow(run, f"id {id_type}, side int, class bigint, keys array<bigint>, " + ", ".join(f"{n} bigint" for n in names))
+    once = base.select("id", "text", "side").dropDuplicates(["id", "side"])  # so that no block is counted twice below
+    coded = once.mapInArrow(run, f"id {id_type}, side int, class bigint, keys array<bigint>, " + ", ".join(f"{n} bigint" for n in names))
     coded = scratch.write(coded, "codes")
 
     # One row per class and side: copies are looked up, and filed, once.
     one = coded.groupBy("class", "side").agg(F.min("id").alias("id"))
-    filed = coded.join(one, ["class", "side", "id"], "left_semi").select("class", "side", F.explode("keys").alias("key")).distinct()
+    filed = coded.join(one, ["class", "side", "id"], "left_semi").select("class", "side", F.explode("keys").alias("key"))
     shelf, probe = filed.where("side = 0").select("key", F.col("class").alias("b")), filed.where("side = 1").select("key", F.col("class").alias("a"))
     met = probe.join(shelf, "key").groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= meets)
     code = coded.groupBy("class").agg(*[F.first(n).alias(n) for n in names])
