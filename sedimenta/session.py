@@ -85,3 +85,10 @@ class Scratch:
             fs.delete(path, True)
         except Exception:  # the JVM is gone; the cluster's cleaner owns the folder now
             pass
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores, for work that is heavy per row on a table that is small: adaptive execution would merge it into one task."""
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *keys)
