@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import Scratch
+from ..session import Scratch, spread
 
 LOST = "�"
 
@@ -291,7 +291,7 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
     low = F.lower("form")  # twins may differ in case
     common = forms.groupBy("key", low.alias("low")).agg(F.sum("n").alias("clean"))
     own = common.select("key", F.col("low").alias("own"), F.col("clean").alias("n_own"))
-    twins = forms.mapInArrow(guesses, guess_schema).withColumn("own", low).where("own <> low").join(common, ["key", "low"]).join(own, ["key", "own"]).where("clean >= n_own").drop("own", "n_own")
+    twins = spread(forms, "key", "form").mapInArrow(guesses, guess_schema).withColumn("own", low).where("own <> low").join(common, ["key", "low"]).join(own, ["key", "own"]).where("clean >= n_own").drop("own", "n_own")
     twins = scratch.write(twins, "twins")
 
     # What each transformation explains; undamaged and better supported ones first.
@@ -339,7 +339,8 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
             columns = list(zip(*rows)) if rows else [[]] * 3
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string()))], ["key", "form", "fixed"])
 
-    without = forms.join(best.select("key", "form"), ["key", "form"], "left_anti").select("key", "form").mapInArrow(rest, "key bigint, form string, fixed string")
+    without = forms.join(best.select("key", "form"), ["key", "form"], "left_anti").select("key", "form")
+    without = spread(without, "key", "form").mapInArrow(rest, "key bigint, form string, fixed string")
     # Lost characters: restored from the commonest clean spelling of the key whose characters fit their places.
     lost = without.where(F.col("form").contains(LOST)).select("key", low.alias("lost")).distinct()
     pattern = F.concat(F.lit("^"), F.replace(F.regexp_replace("lost", r"([!-/:-@\[-`{-~])", r"\\$1"), F.lit(LOST), F.lit(r"[^\x00-\x7f]")), F.lit("$"))
