@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import al
+from ..functions.arrow import map_rows
 
 MEMBER_SCHEMA = (
     "file_id long, object_no int, member_no int, object_kind string, object_id long, object_name string, is_test boolean, member_kind string, member_name string, is_local boolean, "
@@ -22,49 +20,41 @@ def members(files: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Null and empty texts give none. Rows are 0-based lines of the file.
     """
-    names = [x.split()[0] for x in MEMBER_SCHEMA.replace("array<string>", "array").split(", ")]
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in it:
-            rows = []
-            for fid, src in zip(part["id"], part["text"]):
-                try:
-                    for n, o in enumerate(al.objects(src)):
-                        sibs, head = [m.signature for m in o.members], o.head
-                        for k, m in enumerate(o.members):
-                            body = src[m.body_start : m.body_end] if m.body_start is not None else ""
-                            first = src.count("\n", 0, m.start)
-                            rows.append((fid, n, k, o.kind, o.object_id, o.name, o.is_test, m.kind, m.name, m.is_local, m.signature, m.doc_comment, bool(body), body, body.count("\n") + 1 if body else 0, m.text, head, sibs, first, first + m.text.count("\n"), None))
-                except Exception as e:  # dead letter, the other files go on
-                    rows.append((fid, *[None] * (len(names) - 2), f"{type(e).__name__}: {e}"))
-            out = pd.DataFrame(rows, columns=names)
-            for c in ("object_no", "member_no", "object_id", "body_loc", "start_row", "end_row"):
-                out[c] = out[c].astype("Int64")
-            yield out
+    width = len(MEMBER_SCHEMA.split(", "))
+
+    def run(ids: list, texts: list) -> list[tuple]:
+        rows = []
+        for fid, src in zip(ids, texts):
+            try:
+                for n, o in enumerate(al.objects(src)):
+                    sibs, head = [m.signature for m in o.members], o.head
+                    for k, m in enumerate(o.members):
+                        body = src[m.body_start : m.body_end] if m.body_start is not None else ""
+                        first = src.count("\n", 0, m.start)
+                        rows.append((fid, n, k, o.kind, o.object_id, o.name, o.is_test, m.kind, m.name, m.is_local, m.signature, m.doc_comment, bool(body), body, body.count("\n") + 1 if body else 0, m.text, head, sibs, first, first + m.text.count("\n"), None))
+            except Exception as e:  # dead letter, the other files go on
+                rows.append((fid, *[None] * (width - 2), f"{type(e).__name__}: {e}"))
+        return rows
 
     f = files.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and length(text) > 0")
-    return f.mapInPandas(run, MEMBER_SCHEMA)
+    return map_rows(f, run, MEMBER_SCHEMA)
 
 
 def objects(files: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per object of every file."""
-    names = [x.split()[0] for x in OBJECT_SCHEMA.split(", ")]
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in it:
-            rows = []
-            for fid, src in zip(part["id"], part["text"]):
-                try:
-                    rows += [(fid, n, o.kind, o.object_id, o.name, o.is_test, len(o.members), o.text, None) for n, o in enumerate(al.objects(src))]
-                except Exception as e:
-                    rows.append((fid, *[None] * (len(names) - 2), f"{type(e).__name__}: {e}"))
-            out = pd.DataFrame(rows, columns=names)
-            for c in ("object_no", "object_id", "n_members"):
-                out[c] = out[c].astype("Int64")
-            yield out
+    width = len(OBJECT_SCHEMA.split(", "))
+
+    def run(ids: list, texts: list) -> list[tuple]:
+        rows = []
+        for fid, src in zip(ids, texts):
+            try:
+                rows += [(fid, n, o.kind, o.object_id, o.name, o.is_test, len(o.members), o.text, None) for n, o in enumerate(al.objects(src))]
+            except Exception as e:
+                rows.append((fid, *[None] * (width - 2), f"{type(e).__name__}: {e}"))
+        return rows
 
     f = files.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and length(text) > 0")
-    return f.mapInPandas(run, OBJECT_SCHEMA)
+    return map_rows(f, run, OBJECT_SCHEMA)
 
 
 # A diagnostic line of the compiler.

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrow import map_rows
 from ..functions.text import norm_ws
 
 Check = Callable[[str], list[str]]
@@ -27,21 +27,20 @@ def with_memo(df: DataFrame, text: str, memo: DataFrame | None, check: Check) ->
     texts have null codes. A check that fails gives the one code ``EXCEPTION``.
     """
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in it:
-            out = []
-            for x in part["text"]:
-                try:
-                    out.append(sorted(check(x)))
-                except Exception:
-                    out.append(["EXCEPTION"])
-            yield pd.DataFrame({"key": part["key"], "codes": out})
+    def run(keys: list, texts: list) -> list[tuple]:
+        out = []
+        for key, x in zip(keys, texts):
+            try:
+                out.append((key, sorted(check(x))))
+            except Exception:
+                out.append((key, ["EXCEPTION"]))
+        return out
 
     keyed = df.withColumn("_key", F.when(F.col(text).isNotNull(), memo_key(F.col(text))))
     if memo is None:
         memo = df.sparkSession.createDataFrame([], "key string, codes array<string>")
     unknown = keyed.where(F.col("_key").isNotNull()).select(F.col("_key").alias("key"), F.col(text).alias("text")).dropDuplicates(["key"]).join(memo.select("key"), "key", "left_anti")
-    fresh = unknown.mapInPandas(run, "key string, codes array<string>")
+    fresh = map_rows(unknown, run, "key string, codes array<string>")
     known = memo.unionByName(fresh).withColumnsRenamed({"key": "_key"})
     return keyed.join(known, "_key", "left").drop("_key"), fresh
 
@@ -82,7 +81,7 @@ def verdicts(candidates: DataFrame, baselines: DataFrame, check: Check, memo: Da
     return decided.unionByName(late)
 
 
-def baselines(apps: DataFrame, files: DataFrame, check: Check, *, chunk_chars: int = 4_000_000) -> DataFrame:
+def baselines(apps: DataFrame, files: DataFrame, check: Check) -> DataFrame:
     """(app, error_clean, n_errors, error_codes, n_analyzer_hits, analyzer_rules, exception) of every app over its files.
 
     ``files``: app, text. Files are checked one by one, so an app of a third of
@@ -90,17 +89,16 @@ def baselines(apps: DataFrame, files: DataFrame, check: Check, *, chunk_chars: i
     """
     from .extract import is_analyzer
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in it:
-            rows = []
-            for app, text in zip(part["app"], part["text"]):
-                try:
-                    rows += [(app, c, None) for c in check(text)]
-                except Exception as e:
-                    rows.append((app, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["app", "code", "exception"])
-
-    found = files.select("app", "text").where("app is not null and text is not null").mapInPandas(run, f"app {files.schema['app'].dataType.simpleString()}, code string, exception string")
+    def run(apps_: list, texts: list) -> list[tuple]:
+        rows = []
+        for app, text in zip(apps_, texts):
+            try:
+                rows += [(app, c, None) for c in check(text)]
+            except Exception as e:
+                rows.append((app, None, f"{type(e).__name__}: {e}"))
+        return rows
+
+    found = map_rows(files.select("app", "text").where("app is not null and text is not null"), run, f"app {files.schema['app'].dataType.simpleString()}, code string, exception string")
     err = F.when(~is_analyzer(F.col("code")), F.col("code"))
     hit = F.when(is_analyzer(F.col("code")), F.col("code"))
     per = found.groupBy("app").agg(F.count(err).alias("n_errors"), F.array_sort(F.collect_set(err)).alias("error_codes"), F.count(hit).alias("n_analyzer_hits"), F.array_sort(F.collect_set(hit)).alias("analyzer_rules"), F.min("exception").alias("exception"))
@@ -149,9 +147,7 @@ def brackets_check(text: str) -> list[str]:
 def repaired(broken: DataFrame, repair: Callable[[str], tuple[str | None, str]]) -> DataFrame:
     """(record_id, fixed, method) for broken(record_id, text), the repair run once per row."""
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in it:
-            done = [repair(x) if x is not None else (None, "unfixable:null") for x in part["text"]]
-            yield pd.DataFrame({"record_id": part["record_id"], "fixed": [d[0] for d in done], "method": [d[1] for d in done]})
+    def run(ids: list, texts: list) -> list[tuple]:
+        return [(rid, *(repair(x) if x is not None else (None, "unfixable:null"))) for rid, x in zip(ids, texts)]
 
-    return broken.select("record_id", "text").mapInPandas(run, "record_id long, fixed string, method string")
+    return map_rows(broken.select("record_id", "text"), run, "record_id long, fixed string, method string")

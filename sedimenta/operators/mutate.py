@@ -2,27 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import mutations as M
+from ..functions.arrow import map_rows
 from ..functions.text import fenced
+from ..session import Scratch
 from .generate import usable
 
 
 def mutated(members: DataFrame) -> DataFrame:
     """(record_id, mutation, position, rejected_al, mutation_desc): up to fourteen rows per member text."""
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        order = {name: i for i, name in enumerate(M.CATALOGUE)}
-        for part in it:
-            rows = [(rid, name, order[name], bad, said) for rid, text, kind in zip(part["record_id"], part["member_text"], part["member_kind"]) if text for name, bad, said in M.mutate(text, {"member_kind": kind})]
-            yield pd.DataFrame(rows, columns=["record_id", "mutation", "position", "rejected_al", "mutation_desc"])
+    order = {name: i for i, name in enumerate(M.CATALOGUE)}
+
+    def run(ids: list, texts: list, kinds: list) -> list[tuple]:
+        return [(rid, name, order[name], bad, said) for rid, text, kind in zip(ids, texts, kinds) if text for name, bad, said in M.mutate(text, {"member_kind": kind})]
 
-    return members.select("record_id", "member_text", "member_kind").where("member_text is not null").mapInPandas(run, "record_id long, mutation string, position int, rejected_al string, mutation_desc string")
+    return map_rows(members.select("record_id", "member_text", "member_kind").where("member_text is not null"), run, "record_id long, mutation string, position int, rejected_al string, mutation_desc string")
 
 
 def error_fix_pairs(members: DataFrame) -> DataFrame:
@@ -36,14 +34,16 @@ def error_fix_pairs(members: DataFrame) -> DataFrame:
 
 
 def distinct_checked(df: DataFrame, text: str, check, name: str = "codes") -> DataFrame:
-    """``check(text) -> list of codes`` once per distinct text, joined back: the expensive call never repeats."""
+    """``check(text) -> list of codes`` once per distinct text, joined back by hash: the expensive call never repeats, and texts are not join keys."""
+    keys = [F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2")]
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in it:
-            yield pd.DataFrame({text: part[text], name: [sorted(check(x)) for x in part[text]]})
+    def run(h1: list, h2: list, texts: list) -> list[tuple]:
+        return [(a, b, sorted(check(x))) for a, b, x in zip(h1, h2, texts)]
 
-    once = df.where(F.col(text).isNotNull()).select(text).distinct().mapInPandas(run, f"`{text}` string, `{name}` array<string>")
-    return df.join(once, text, "left")
+    once = df.where(F.col(text).isNotNull()).select(*keys, text).dropDuplicates(["_h1", "_h2"])
+    known = map_rows(once, run, f"_h1 long, _h2 long, `{name}` array<string>")
+    both = df.select("*", *keys).join(known, ["_h1", "_h2"], "left").drop("_h1", "_h2")
+    return both.withColumn(name, F.when(F.col(text).isNotNull(), F.col(name)))
 
 
 def new_codes(good: DataFrame, bad: DataFrame, *key: str) -> DataFrame:
@@ -53,14 +53,17 @@ def new_codes(good: DataFrame, bad: DataFrame, *key: str) -> DataFrame:
     return b.join(g, [*key, "code"], "left").withColumn("n", F.col("b") - F.coalesce("g", F.lit(0))).where("n > 0").select(*key, "code", "n")
 
 
-def calibration(pairs: DataFrame, check, k: int = 8) -> DataFrame:
+def calibration(pairs: DataFrame, check, k: int = 8, scratch: Scratch | None = None) -> DataFrame:
     """Per mutation: applicable, any_new, hit_expected, their rates, the modal new code and the k commonest.
 
     ``pairs``: record_id, mutation, target_al, rejected_al, expected_diagnostic.
     Ties go to the smaller code.
     """
-    both = distinct_checked(distinct_checked(pairs, "target_al", check, "good"), "rejected_al", check, "bad")
-    rows = both.select("record_id", "mutation", "expected_diagnostic", "good", "bad")
+    scratch = scratch or Scratch(pairs.sparkSession, "calibration")
+    pairs = scratch.write(pairs.select("record_id", "mutation", "target_al", "rejected_al", "expected_diagnostic"), "pairs")
+    good = distinct_checked(pairs.select("record_id", "target_al").dropDuplicates(["record_id"]), "target_al", check, "good").select("record_id", "good")
+    bad = distinct_checked(pairs.select("record_id", "mutation", "expected_diagnostic", "rejected_al"), "rejected_al", check, "bad")
+    rows = scratch.write(bad.select("record_id", "mutation", "expected_diagnostic", "bad").join(good, "record_id"), "codes")
     new = new_codes(rows.select("record_id", "mutation", F.explode("good").alias("code")), rows.select("record_id", "mutation", F.explode("bad").alias("code")), "record_id", "mutation")
     per = new.groupBy("record_id", "mutation").agg(F.collect_set("code").alias("new"))
     flags = rows.join(per, ["record_id", "mutation"], "left").select("mutation", F.col("new").isNotNull().alias("any"), F.coalesce(F.arrays_overlap("new", "expected_diagnostic"), F.lit(False)).alias("hit"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,13 +22,15 @@ def held_out(group: Column, rate: int = 12) -> Column:
     return hash_bucket(group, rate) == 0
 
 
-def rank_by(df: DataFrame, order: list[Column], name: str = "rank", buckets: int = 256) -> DataFrame:
+def rank_by(df: DataFrame, order: list[Column], name: str = "rank", buckets: int | None = None) -> DataFrame:
     """A global 0-based rank without one task sorting everything.
 
     Rows are cut into ranges by the leading order column's approximate
     quantiles, ranked inside a range, and shifted by the rows in ranges before.
-    The leading column must be a number or be hashed to one.
+    The leading column must be a number or be hashed to one. As many ranges as
+    the session has shuffle partitions, 256 at most.
     """
+    buckets = buckets or min(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     lead = order[0]
     keyed = df.withColumn("_lead", lead.cast("double"))
     cuts = sorted(set(keyed.approxQuantile("_lead", [i / buckets for i in range(1, buckets)], 0.001)))
@@ -89,19 +91,19 @@ def triple_cap(df: DataFrame, caps: dict[str, int], order: list[Column]) -> Data
     keys = df.select("_id", *names, *[o.alias(f"_o{i}") for i, o in enumerate(order)])
     one = keys.repartition(1).sortWithinPartitions(*[f"_o{i}" for i in range(len(order))], "_id").select("_id", *names)
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         used: dict[tuple, int] = {}
-        for part in it:
+        for batch in batches:
             kept = []
-            for row in part.itertuples(index=False):
-                held = [(n, v) for n, v in zip(names, row[1:])]
+            for i, row in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
+                held = list(zip(names, row))
                 if all(used.get(k, 0) < caps[k[0]] for k in held):
                     for k in held:
                         used[k] = used.get(k, 0) + 1
-                    kept.append(row[0])
-            yield pd.DataFrame({"_id": kept})
+                    kept.append(i)
+            yield pa.record_batch([batch.column(0).take(pa.array(kept, pa.int32()))], ["_id"])
 
-    taken = one.mapInPandas(run, f"_id {df.schema['_id'].dataType.simpleString()}")
+    taken = one.mapInArrow(run, f"_id {df.schema['_id'].dataType.simpleString()}")
     return df.join(taken, "_id", "left_semi")
 
 

@@ -11,6 +11,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,3 +93,23 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     spark = df.sparkSession
     n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return df.repartition(n, *keys)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package where their PYTHONPATH does not name it; once per context."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    context = spark.sparkContext
+    known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home in known or getattr(context, "_sedimenta_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="sedimenta-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "sedimenta.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for at, _, files in os.walk(os.path.join(home, "sedimenta")):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(at, name)
+                    out.write(full, os.path.relpath(full, home))
+    context.addPyFile(archive)
+    context._sedimenta_shipped = True
