@@ -158,7 +158,7 @@ def heldout_by_group(spark, sf):
 def kind_cap_candidates(spark, sf):
     """Candidates without a rejected side, at most 35 percent of them per generator."""
     c = _candidates(spark, sf).where("coalesce(length(rejected_al), 0) = 0")
-    return split.kind_cap(c, "gen", _answer(), "cand_id", 0.2).select("cand_id", "gen")
+    return split.kind_cap(c, "gen", _answer(), "cand_id", 0.35).select("cand_id", "gen")
 
 
 def val_split_candidates(spark, sf):

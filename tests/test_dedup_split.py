@@ -133,6 +133,16 @@ def test_kind_cap(spark):
     assert {r[0] for r in split.kind_cap(df, "gen", F.col("answer"), "id", 0.5).where("gen = 'big'").select("id").collect()} == want
 
 
+def test_registered_kind_cap_is_that_of_the_reference(spark, sf):
+    from sedimenta.plans import catalogue
+
+    c = catalogue._candidates(spark, sf).where("coalesce(length(rejected_al), 0) = 0")
+    sizes = dict(rows(c.groupBy("gen").count()))
+    cap = int(sum(sizes.values()) * 0.35)
+    assert max(sizes.values()) > cap
+    assert dict(rows(catalogue.kind_cap_candidates(spark, sf).groupBy("gen").count())) == {g: min(n, cap) for g, n in sizes.items()}
+
+
 def test_triple_cap_is_greedy(spark):
     rng = random.Random(1)
     data = [(str(i), f"m{rng.randrange(3)}", f"p{rng.randrange(5)}", f"a{rng.randrange(2)}", rng.random()) for i in range(200)]
