@@ -5,8 +5,8 @@ typed placeholders, other words stand for themselves. The type depends on the
 lower-cased word alone, so a passage keeps its template however it was cased,
 wrapped or marked up. Windows of template tokens are hashed; windows of
 documents and items join on that hash, and what their slots hold decides: equal
-values are a verbatim leak; values that differ, but map one-to-one over a long
-aligned run, are a re-parameterised question.
+values are a verbatim leak; values that differ, but map one-to-one over an
+aligned run that is long or in few items, are a re-parameterised question.
 """
 
 from __future__ import annotations
@@ -155,29 +155,40 @@ def leaked_items(documents: DataFrame, doc_id: str, doc_text: str, items: DataFr
     return hits.groupBy(F.col("id").alias("doc_id"), "item_id").agg(F.countDistinct("pos").alias("n_windows"), F.min("pos").alias("first_pos"))
 
 
-def reparameterised_items(documents: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id: str, item_text: str, *, window: int = 12, run_words: int = 24, inline: int = 1_000_000, scratch: Scratch | None = None) -> DataFrame:
-    """(doc_id, item_id, n_words, n_slots, n_changed): passages that repeat an item's template with other values.
+def reparameterised_items(documents: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id: str, item_text: str, *, window: int = 12, run_words: int = 24, opening_share: float = 0.1, inline: int = 1_000_000, scratch: Scratch | None = None) -> DataFrame:
+    """(doc_id, item_id, n_words, n_slots, n_changed): passages that repeat an item, verbatim or its template with other values.
 
-    A passage is an aligned run of at least ``run_words`` template words. Its
-    slots must be consistent: equal item values have equal document values and
-    the other way round. Rows with n_changed = 0 are verbatim. Nulls, short and
-    empty texts behave as in :func:`leaked_items`.
+    A passage is an aligned run of words. A verbatim one (n_changed = 0) counts
+    from ``window`` words, with or without slots and whatever surrounds it, so
+    every pair of :func:`leaked_items` is here. In a changed one equal item
+    values have equal document values and the other way round; it counts from
+    ``run_words`` words, and below that if one of its windows, at least half of
+    it plain words, is held by no more than ``opening_share`` of the items (or
+    by one): what more of them share is a common opening. Repeated rows change
+    nothing. Nulls, short and empty texts behave as in :func:`leaked_items`.
     """
     scratch = scratch or Scratch(documents.sparkSession, "variants")
-    d, i = _sides(documents, doc_id, doc_text, items, item_id, item_text)
+    # texts under one id are told apart, so that positions of one never continue those of another
+    d, i = (t.select(F.struct("id", F.xxhash64("text").alias("v")).alias("id"), "text") for t in _sides(documents, doc_id, doc_text, items, item_id, item_text))
     seen, own = _joined(d, i, window, True, inline, scratch)
-    hits = seen.select(F.col("id").alias("doc_id"), F.col("pos").alias("p"), "template", F.col("slots").alias("have")).join(own.select(F.col("id").alias("item_id"), F.col("pos").alias("q"), "template", F.col("slots").alias("want")), "template")
-    # windows on one diagonal whose positions follow each other make one run
-    diagonal = hits.withColumn("d", F.col("p") - F.col("q"))
-    rank = F.row_number().over(_by("doc_id", "item_id", "d", order="p"))
-    runs = diagonal.withColumn("run", F.col("p") - rank)
-    zipped = F.arrays_zip("want", "have")
-    slots = runs.select("doc_id", "item_id", "d", "run", "p", F.explode(F.filter(zipped, lambda s: s["want"] != 0)).alias("s"))
-    pairs = slots.groupBy("doc_id", "item_id", "d", "run", "s.want", "s.have").agg(F.min("p").alias("p0"))
-    checked = pairs.groupBy("doc_id", "item_id", "d", "run").agg(F.count("*").alias("n_slots"), F.countDistinct("want").alias("n_want"), F.countDistinct("have").alias("n_have"), F.sum((F.col("want") != F.col("have")).cast("int")).alias("n_changed"))
-    length = runs.groupBy("doc_id", "item_id", "d", "run").agg((F.count("*") + window - 1).alias("n_words"))
-    ok = length.where(F.col("n_words") >= run_words).join(checked, ["doc_id", "item_id", "d", "run"]).where("n_slots = n_want and n_slots = n_have")
-    best = ok.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_words", (-F.col("n_changed")).alias("m"), "n_slots")).alias("b"))
+    most = max(1.0, own.select(F.countDistinct("id.v")).first()[0] * opening_share)
+    plain = F.size(F.filter("slots", lambda s: s == 0)) * 2 >= window
+    shared = own.groupBy("template").agg((F.least(F.countDistinct("id.v"), F.countDistinct("exact")) <= most).alias("few"))
+    own = own.distinct().join(shared, "template").select(F.col("id").alias("item_id"), F.col("pos").alias("q"), "template", F.col("exact").alias("exact_q"), F.col("slots").alias("want"), (F.col("few") & plain).alias("rare"))
+    hits = seen.select(F.col("id").alias("doc_id"), F.col("pos").alias("p"), "template", "exact", F.col("slots").alias("have")).join(own, "template")
+    # windows on one diagonal whose positions follow each other make one run; the verbatim ones among them make runs of their own
+    diagonal = hits.withColumn("d", F.col("p") - F.col("q")).withColumn("same", F.col("exact") == F.col("exact_q"))
+    both = diagonal.withColumn("run", F.col("p") - F.dense_rank().over(_by("doc_id", "item_id", "d", order="p"))).withColumn("exact_run", F.col("p") - F.dense_rank().over(_by("doc_id", "item_id", "d", "same", order="p")))
+    run = F.explode(F.when(F.col("same"), F.array(F.struct(F.lit(False).alias("verbatim"), "run"), F.struct(F.lit(True).alias("verbatim"), F.col("exact_run").alias("run")))).otherwise(F.array(F.struct(F.lit(False).alias("verbatim"), "run"))))
+    runs = both.select("doc_id", "item_id", "d", "p", "want", "have", "rare", run.alias("r"))
+    # the first slot of every window and all of the last one are the slots of the run
+    head = F.struct(F.get("want", F.lit(0)).alias("want"), F.get("have", F.lit(0)).alias("have"))
+    held = runs.groupBy("doc_id", "item_id", "d", "r.verbatim", "r.run").agg((F.max("p") - F.min("p") + window).alias("n_words"), F.max("rare").alias("rare"), F.collect_set(head).alias("heads"), F.max_by(F.arrays_zip("want", "have"), "p").alias("tail"))
+    pairs = F.array_distinct(F.filter(F.concat("heads", "tail"), lambda s: s["want"] != 0))
+    side = lambda name: F.size(F.array_distinct(F.transform("s", lambda x: x[name])))
+    checked = held.withColumn("s", pairs).withColumn("n_slots", F.size("s")).withColumn("n_changed", F.size(F.filter("s", lambda x: x["want"] != x["have"])))
+    ok = checked.where((F.col("n_slots") == side("want")) & (F.col("n_slots") == side("have")) & ((F.col("n_changed") == 0) | (F.col("n_words") >= run_words) | F.col("rare")))
+    best = ok.groupBy(F.col("doc_id.id").alias("doc_id"), F.col("item_id.id").alias("item_id")).agg(F.max(F.struct("n_words", (-F.col("n_changed")).alias("m"), "n_slots")).alias("b"))
     return best.select("doc_id", "item_id", F.col("b.n_words").alias("n_words"), F.col("b.n_slots").alias("n_slots"), (-F.col("b.m")).alias("n_changed"))
 
 

@@ -138,6 +138,33 @@ def test_reparameterised_items(spark):
     assert [g for g in got if g[2] == 0] == [(2, 7, 0)] and (1, 7, 5) in got and not [g for g in got if g[0] in (3, 4, 5)]
 
 
+def test_short_plain_and_repeated_passages_are_variants(spark):
+    plain = "the quick brown fox jumps over the lazy dog and then it rests under one old tree until the next morning comes back again"
+    asks = [f"Please answer the following question and explain for codeunit Collect{c}StandardShift how long the {w} runs" for c, w in zip("abcdefghijkl", "one two six ten red tan big dim wet hot old new".split())]
+    short = "In codeunit BuildRankedPallet the posting of RefreshBlockedBuffer must stop after 874 rows"
+    items = spark.createDataFrame([(1, plain), (2, short), (3, " ".join(f"{n}" for n in range(40, 53))), *[(10 + k, a) for k, a in enumerate(asks)]], "item_id long, text string")
+    other = "In codeunit CompareOpenPayment the posting of ImportVirtualRebate must stop after 17 rows"
+    docs = {
+        1: f"x {plain} y",  # no slot at all
+        2: f"see {' '.join(plain.split()[:12])} and more",  # twelve words, no slot
+        3: f"so {short}, then",  # short, verbatim
+        4: f"so {other}, then",  # short, changed, held by one item
+        5: f"{asks[0].rsplit(' the ', 1)[0].replace('CollectaStandardShift', 'SomethingElseAgain')} nobody knows",  # a common opening with another name
+        6: f"{' '.join(str(n) for n in range(70, 83))} of a table",  # slots alone say nothing
+        7: f"{short.replace('BuildRankedPallet', 'RefreshBlockedBuffer', 1)}",  # one value for two, and fewer than twelve words verbatim
+    }
+    df = spark.createDataFrame([*docs.items(), *docs.items()], "doc_id long, text string")
+    got = rows(reparameterised_items(df, "doc_id", "text", items.union(items), "item_id", "text"), "doc_id", "item_id", "n_words", "n_slots", "n_changed")
+    assert got == sorted([(1, 1, 24, 0, 0), (2, 1, 12, 0, 0), (3, 2, 12, 4, 0), (4, 2, 12, 4, 3)], key=repr)
+
+
+def test_variants_hold_every_verbatim_leak(spark, sf):
+    from sedimenta.llm import queries as Q
+
+    variants, found = Q.p5_variants(spark, sf), Q.p5_found(spark, sf)
+    assert found.count() and found.join(variants, ["doc_id", "item_id"], "left_anti").count() == 0
+
+
 def test_rates_respect_caps():
     rates = repetition_rates({"a": 1000, "b": 100, "c": 10}, {"a": (0.5, 1), "b": (0.4, 2), "c": (0.1, 5), "none": (0.1, 9), "zero": (0.0, 3)}, 1000)
     assert rates["b"] == 2 and rates["c"] == 5 and rates["none"] == rates["zero"] == 0
