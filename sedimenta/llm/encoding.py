@@ -6,7 +6,9 @@ and clean spellings of a word share that key, so they meet in a hash join: for
 each spelling, every transformation (bytes of one encoding read as another,
 once or twice, then perhaps lower-cased or stripped of invisible characters) is
 undone, and the result is looked up among the spellings of the same key. Where
-it is there, and at least as common, the two are aligned character by character.
+it is there, the two are aligned character by character. Which of the two is the
+garbled one is told by their letters and by what the transformation explains
+altogether; only where these say nothing, by the texts that hold either.
 Transformations with enough such twins are accepted, and the character mappings
 learned from the alignments are applied to cells that have no twin.
 """
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,6 +35,8 @@ LOST = "�"
 CHAINS = [("utf-8", w) for w in ("cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1251", "cp1250", "cp866", "koi8-r")]
 CHAINS += [("cp1252", w) for w in ("cp437", "cp850", "mac_roman", "cp1251", "cp1250", "cp866", "koi8-r")]
 CHAINS += [(t, "cp1252") for t in ("mac_roman", "cp437", "cp850", "cp1251", "koi8-r")]
+#: The transformation that does the opposite, where it is among them.
+INVERSE = {c: CHAINS.index((w, t)) for c, (t, w) in enumerate(CHAINS) if (w, t) in CHAINS}
 DAMAGES = ("", "lower", "upper", "invisible", "twice", "twice lower")
 
 _TOKEN = re.compile(r"[^ \t\r\n\f\v]+")
@@ -87,6 +92,34 @@ def garble(text: str, chain: tuple[str, str], damage: str = "") -> str:
     return out
 
 
+def odd(word: str) -> int:
+    """How many characters beyond ASCII no spelling has where they stand: controls, signs inside words, other alphabets beside a to z, wrong case."""
+    n = 0
+    mixed = any(c.isascii() and c.isalpha() for c in word)
+    for i, ch in enumerate(word):
+        if ch.isascii():
+            continue
+        kind, before, after = unicodedata.category(ch), word[i - 1 : i] if i else "", word[i + 1 : i + 2]
+        if kind[0] == "L":
+            foreign = mixed and (not unicodedata.name(ch, "").startswith("LATIN") or unicodedata.decomposition(ch).startswith("<"))
+            n += foreign or ch.isupper() and (before.islower() or before.isalpha() and after.islower()) or ch.islower() and before.isupper() and after.isupper()
+        elif kind == "Cc":
+            n += 1
+        elif kind[0] != "M":
+            inside = before.isalpha() and after.isalpha() and kind != "Pd" and ch not in "‘’\xad" and (before + ch + after).lower() != "l·l"
+            n += inside or kind in ("No", "Sm", "Sk") and after.isalpha() or kind in ("Sm", "Sk") and before.isalpha() or "─" <= ch <= "◿" and (before.isalpha() or after.isalpha())
+    return n
+
+
+def lean(form: str, original: str, pairs: list[tuple[str, str]]) -> int:
+    """What the letters say of a form: 2 garbled from a sound original, 1 garbled, 0 nothing, -1 that it is the sounder one of the two."""
+    a, b = odd(form), odd(original)
+    # bytes of one character read as several: no spelling undoes into another by chance
+    if any(len(x) > 1 for x, _ in pairs) or a > b:
+        return 1 if b else 2
+    return 0 if a == b else -1
+
+
 def spelled(core: str) -> str:
     """A word as it is counted: every number as 0, so that amounts do not make new spellings."""
     return re.sub("[0-9]+", "0", core)
@@ -183,14 +216,16 @@ class Undo:
 
 def _cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, keys, forms = [], [], []
+        ids, keys, forms, texts = [], [], [], []
         for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             text = unescape(text)
             for key, form in {(key, spelled(core)) for _, _, core, key in cells(text)} if not text.isascii() else ():
                 ids.append(rid)
                 keys.append(key)
                 forms.append(form)
-        yield pa.record_batch([pa.array(ids, batch.column(0).type), pa.array(keys, pa.int64()), pa.array(forms, pa.string())], ["id", "key", "form"])
+            if len(ids) > len(texts):
+                texts += [xxhash.xxh3_64_intdigest(text) - (1 << 63)] * (len(ids) - len(texts))
+        yield pa.record_batch([pa.array(ids, batch.column(0).type), pa.array(keys, pa.int64()), pa.array(forms, pa.string()), pa.array(texts, pa.int64())], ["id", "key", "form", "t"])
 
 
 def fill(form: str, like: str) -> str:
@@ -217,8 +252,8 @@ def _fill_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Repair:
     """found(): garbled documents; repaired(): with their original text; learned(): the accepted mappings."""
 
-    def __init__(self, base: DataFrame, cell_table: DataFrame, garbled: DataFrame, mappings: list[tuple], scratch: Scratch):
-        self.base, self.cells, self.garbled, self.mappings, self.scratch = base, cell_table, garbled, mappings, scratch
+    def __init__(self, base: DataFrame, cell_table: DataFrame, forms: DataFrame, garbled: DataFrame, mappings: list[tuple], scratch: Scratch):
+        self.base, self.cells, self.forms, self.garbled, self.mappings, self.scratch = base, cell_table, forms, garbled, mappings, scratch
 
     def found(self) -> DataFrame:
         """(id): every document with a garbled cell."""
@@ -258,8 +293,11 @@ class Repair:
 def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: int = 3, alphabet_support: int = 3, scratch: Scratch | None = None) -> Repair:
     """Find and restore texts with characters read in a wrong encoding.
 
-    A transformation is accepted with twins in ``min_support`` documents. The
-    driver receives the corpus alphabet and the learned mappings only; both are
+    A transformation is accepted with twins in ``min_support`` documents. Where
+    its letters speak for it as a whole, and more than for its inverse, its twins
+    are garbled however common they are, but for those whose letters say the
+    contrary; twins of the others are garbled if the clean word stands in at least
+    as many distinct texts, so that copies vote only in a tie. The driver receives the corpus alphabet and the learned mappings only; both are
     bounded by the number of code points, whatever the corpus.
 
     Defined results: null ids and null or plain ASCII texts (but for character
@@ -269,13 +307,15 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
     scratch = scratch or Scratch(df.sparkSession, "encoding")
     base = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
     kind = base.schema["id"].dataType.simpleString()
-    cell = scratch.write(base.mapInArrow(_cell_rows, f"id {kind}, key bigint, form string"), "cells")
-    forms = scratch.write(cell.groupBy("key", "form").agg(F.count("*").alias("n")), "forms")
+    cell = scratch.write(base.mapInArrow(_cell_rows, f"id {kind}, key bigint, form string, t bigint"), "cells")
+    # n: documents that hold a spelling; texts: distinct texts
+    forms = cell.groupBy("key", "form", "t").agg(F.countDistinct("id").alias("n")).groupBy("key", "form").agg(F.sum("n").alias("n"), F.count("*").alias("texts"))
+    forms = scratch.write(forms, "forms")
 
     chars = forms.select(F.explode(F.array_distinct(F.split("form", ""))).alias("ch"), "n").where(F.length("ch") > 0).groupBy("ch").agg(F.sum("n").alias("n")).where(F.col("n") >= alphabet_support)
     alphabet = sorted(r["ch"] for r in chars.collect() if not r["ch"].isascii() and r["ch"] != LOST)
 
-    guess_schema = "key bigint, form string, n bigint, original string, low string, chain int, damage string, pairs array<struct<garbled:string,original:string>>"
+    guess_schema = "key bigint, form string, n bigint, original string, low string, chain int, damage string, lean int, pairs array<struct<garbled:string,original:string>>"
 
     def guesses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         undo = Undo(alphabet)
@@ -283,15 +323,23 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
             rows = []
             for key, form, n in zip(*(c.to_pylist() for c in batch.columns)):
                 for original, c, damage, pairs in undo.word(form):
-                    rows.append((key, form, n, original, original.lower(), c, damage, [{"garbled": a, "original": b} for a, b in pairs]))
-            columns = list(zip(*rows)) if rows else [[]] * 8
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.list_(pa.struct([("garbled", pa.string()), ("original", pa.string())]))]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "form", "n", "original", "low", "chain", "damage", "pairs"])
+                    rows.append((key, form, n, original, original.lower(), c, damage, lean(form, original, pairs), [{"garbled": a, "original": b} for a, b in pairs]))
+            columns = list(zip(*rows)) if rows else [[]] * 9
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.list_(pa.struct([("garbled", pa.string()), ("original", pa.string())]))]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "form", "n", "original", "low", "chain", "damage", "lean", "pairs"])
 
     low = F.lower("form")  # twins may differ in case
-    common = forms.groupBy("key", low.alias("low")).agg(F.sum("n").alias("clean"))
+    common = forms.groupBy("key", low.alias("low")).agg(F.struct(F.sum("texts").alias("texts"), F.sum("n").alias("docs")).alias("clean"))
     own = common.select("key", F.col("low").alias("own"), F.col("clean").alias("n_own"))
-    twins = spread(forms, "key", "form").mapInArrow(guesses, guess_schema).withColumn("own", low).where("own <> low").join(common, ["key", "low"]).join(own, ["key", "own"]).where("clean >= n_own").drop("own", "n_own")
+    twins = spread(forms.select("key", "form", "n"), "key", "form").mapInArrow(guesses, guess_schema).withColumn("own", low).where("own <> low").join(common, ["key", "low"]).join(own, ["key", "own"])
+    twins = scratch.write(twins, "all_twins")
+
+    # Distinct spellings with a sound original speak for a chain, against those for its inverse: no word's majority can turn them.
+    votes = {r["chain"]: r["n"] for r in twins.where("lean = 2").groupBy("chain").agg(F.countDistinct("key", "form").alias("n")).collect()}
+    spoken = [(c, n >= min_support and n > 2 * m, m >= min_support and m > 2 * n) for c, n, m in ((c, votes.get(c, 0), votes.get(INVERSE.get(c), 0)) for c in range(len(CHAINS)))]
+    spoken = df.sparkSession.createDataFrame(spoken, "chain int, sure boolean, inverse boolean")
+    told = "lean = 2 and (sure or clean >= n_own) or lean = 1 and clean >= n_own or lean = 0 and not inverse and (clean >= n_own or sure and damage = '')"
+    twins = twins.join(F.broadcast(spoken), "chain").where(told).drop("own", "n_own", "sure", "inverse")
     twins = scratch.write(twins, "twins")
 
     # What each transformation explains; undamaged and better supported ones first.
@@ -300,8 +348,8 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
     order = sorted(accepted, key=lambda k: (DAMAGES.index(k[1]), -support[k], k))
     ranking = df.sparkSession.createDataFrame([(c, d, i) for i, (c, d) in enumerate(order)], "chain int, damage string, rank int")
     best = twins.join(F.broadcast(ranking), ["chain", "damage"])
-    # the commonest clean twin explains a spelling; then the better ranked transformation
-    best = best.groupBy("key", "form").agg(F.max(F.struct(F.col("clean"), (-F.col("rank")).alias("minus"), "original", "chain", "damage", "pairs", "n")).alias("b")).select("key", "form", "b.*")
+    # a twin whose letters tell explains a spelling, then the commonest; then the better ranked transformation
+    best = best.groupBy("key", "form").agg(F.max(F.struct("lean", F.col("clean"), (-F.col("rank")).alias("minus"), "original", "chain", "damage", "pairs", "n")).alias("b")).select("key", "form", "b.*")
     best = scratch.write(best, "best")
 
     # Learned: sequence -> character with the documents that show it, against those where the sequence is clean.
@@ -329,6 +377,9 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
                 for original, c, damage, pairs in undo.word(form):
                     sequences = [a for a, b in pairs if len(a) > 1 and CHAINS[c][0] == "utf-8" and damage not in ("lower", "upper")]
                     inside = [a for a, b in pairs if len(a) == 1 and a in foreign and a in tables[c, damage] and re.search(r"[A-Za-z]", form)]
+                    # a letter that clean words have, too, counts only where the word gets sounder
+                    told = lean(form, original, pairs)
+                    inside = [a for a in inside if told > 0 or told == 0 and clean_docs.get(a, 0) < alphabet_support]
                     score = (len("".join(sequences)) * 2 + len(inside), -order.index((c, damage)))
                     if (sequences or inside) and (verdict is None or score > verdict[0]):
                         verdict = (score, original)
@@ -350,4 +401,4 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
     without = filled.mapInArrow(_fill_rows, "key bigint, form string, fixed string")
     garbled = scratch.write(best.select("key", "form", F.col("original").alias("fixed")).unionByName(without), "garbled")
     mappings = [(*CHAINS[c], d, a, b, n) for c, d, a, b, n in learned]
-    return Repair(base, cell, garbled, mappings, scratch)
+    return Repair(base, cell, forms, garbled, mappings, scratch)

@@ -74,3 +74,27 @@ def test_cells_keep_their_place():
 
 def test_fill_takes_runs_in_order():
     assert E.fill("Pr�fgr��e", "prüfgröße") == "Prüfgröße" and E.fill("�NDERUNG", "änderung") == "ÄNDERUNG" and E.fill("a�", "aüöb") == "a�"
+
+
+@pytest.mark.parametrize("chain", [("cp1252", "cp437"), ("cp1252", "mac_roman"), ("cp1252", "koi8-r"), ("utf-8", "cp1252")])
+@pytest.mark.parametrize("copies", [True, False])
+def test_a_garbled_majority_does_not_turn_the_direction(spark, chain, copies):
+    clean = [(i, f"{CLEAN[i % 5]} number {i}") for i in range(20)]
+    bad = {100 + i: (E.garble(s, chain), s) for i in range(200) for s in [f"{CLEAN[i % 5]} note {'' if copies else i}"]}
+    r = repair_encoding(spark.createDataFrame([*clean, *((i, g) for i, (g, _) in bad.items())], "doc_id long, text string"), "doc_id", "text")
+    assert {x[0] for x in rows(r.found())} == set(bad)
+    fixed = {x.id: x.text for x in r.repaired().collect()}
+    assert sum(fixed[i] != s for i, (_, s) in bad.items()) <= 0.02 * len(bad)
+
+
+def test_repeated_rows_and_copies_have_no_vote(spark):
+    # letters that do not tell: capitals on both sides
+    data = [(i, f"DIE GRÖSSE {i}") for i in range(3)] + [(10, E.garble("DIE GRÖSSE", ("cp1252", "cp1250")).replace("Ö", "Ő"))] * 9
+    counted = E.repair_encoding(spark.createDataFrame(data, "doc_id long, text string"), "doc_id", "text", scratch=None)
+    n = {r.form: (r.n, r.texts) for r in counted.forms.collect()}
+    assert n == {"GRÖSSE": (3, 3), "GRŐSSE": (1, 1)}
+
+
+def test_odd_letters():
+    assert [E.odd(w) for w in ("Prüfgröße", "ÄNDERUNG", "doesn’t", "«été»", "Настройка", "10°", "łączna")] == [0] * 7
+    assert all(E.odd(w) for w in ("Prⁿfgr÷▀e", "crÈÈe", "PrьfgrцЯe", "Pr\x81fung", "fⁿr"))
