@@ -362,6 +362,15 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
         if len(a) == 1:
             single[a] += n
     foreign = {a for a, n in single.items() if n >= min_support and clean_docs.get(a, 0) <= n // 4}
+    # Sequences changed in case may be letters of a clean word: they count where hardly any spelling without a twin has them.
+    cased: Counter[str] = Counter()
+    for _, d, a, _, n in learned:
+        if len(a) > 1 and d in ("lower", "upper"):
+            cased[a] += n
+    shown = df.sparkSession.createDataFrame([(a,) for a in sorted(cased)], "a string")
+    shown = forms.join(best.select("key", "form"), ["key", "form"], "left_anti").join(F.broadcast(shown), F.contains("form", "a")).groupBy("a").agg(F.sum("n").alias("n"))
+    elsewhere = {r["a"]: r["n"] for r in shown.collect()} if cased else {}
+    rare = {a for a, n in cased.items() if n >= min_support and elsewhere.get(a, 0) <= n // 4}
     kept = {(c, d) for c, d, *_ in learned}
     known = {ch for ch in alphabet if clean_docs.get(ch, 0) >= alphabet_support}
 
@@ -375,7 +384,7 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
             for key, form in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 verdict = None
                 for original, c, damage, pairs in undo.word(form):
-                    sequences = [a for a, b in pairs if len(a) > 1 and CHAINS[c][0] == "utf-8" and damage not in ("lower", "upper")]
+                    sequences = [a for a, b in pairs if len(a) > 1 and CHAINS[c][0] == "utf-8" and (damage not in ("lower", "upper") or a in rare)]
                     inside = [a for a, b in pairs if len(a) == 1 and a in foreign and a in tables[c, damage] and re.search(r"[A-Za-z]", form)]
                     # a letter that clean words have, too, counts only where the word gets sounder
                     told = lean(form, original, pairs)

@@ -98,3 +98,12 @@ def test_repeated_rows_and_copies_have_no_vote(spark):
 def test_odd_letters():
     assert [E.odd(w) for w in ("Prüfgröße", "ÄNDERUNG", "doesn’t", "«été»", "Настройка", "10°", "łączna")] == [0] * 7
     assert all(E.odd(w) for w in ("Prⁿfgr÷▀e", "crÈÈe", "PrьfgrцЯe", "Pr\x81fung", "fⁿr"))
+
+
+def test_lower_cased_garbling_without_a_twin(spark):
+    clean = [(i, f"{CLEAN[i % 5]} number {i}") for i in range(60)]
+    bad = [(100 + i, E.garble(f"{CLEAN[i % 5]} note {i}", ("utf-8", "cp1252"), "lower")) for i in range(40)]
+    alone = (200, E.garble("Ein Türöffner", ("utf-8", "cp1252"), "lower"))
+    r = repair_encoding(spark.createDataFrame([*clean, *bad, alone], "doc_id long, text string"), "doc_id", "text")
+    assert {x[0] for x in rows(r.found())} == {i for i, _ in bad} | {200}
+    assert {x.id: x.text for x in r.repaired().collect()}[200] == "ein türöffner"
