@@ -128,3 +128,64 @@ def verified(pairs: DataFrame, text_a: str, text_b: str, shingle: int, threshold
 
 def ordered(a: F.Column, b: F.Column) -> list[F.Column]:
     return [F.least(a, b), F.greatest(a, b)]
+
+
+def meet_buckets(hot: int, radius: int, at_once: int = 1 << 17):
+    """A mapInArrow function over rows (key, class, f0, f1) sorted by key, split by key >> 1; the lowest bit of a key is its side.
+
+    Emits (a, b): class a of side 1 and class b of side 0 that share a bucket
+    and whose words f0 and f1 differ in at most ``radius`` bits. Where a bucket
+    holds more than ``hot`` rows of side 0, they leave in blocks of ``hot``, and
+    so do the rows of side 1 that asked for them; key, block, side and the words
+    are set then, and the squares are to be compared elsewhere. At most ``hot``
+    rows and a batch are held.
+    """
+    names = ["a", "b", "key", "block", "side", "f0", "f1"]
+    kinds = [pa.int64()] * 4 + [pa.int32()] + [pa.int64()] * 2
+
+    def table(n: int, **columns) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in zip(names, kinds)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 4  # rows of side 0 of the last bucket
+        bucket, gone, asked = -1, 0, 0  # the last bucket, and its rows of either side that left as blocks
+
+        for batch in batches:
+            rows = [np.r_[x, batch.column(i).to_numpy(zero_copy_only=False)] for i, x in enumerate(held)]
+            if not len(rows[0]):
+                continue
+            key, cls, f0, f1 = rows
+            own, side = key >> 1, key & 1
+            filed, probe = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            low = np.searchsorted(own[filed], own[probe], "left")
+            many = np.searchsorted(own[filed], own[probe], "right") - low
+            # rows of side 0 sort before those of side 1: all that a probe can meet, and did not leave, is here
+            total = np.cumsum(many)
+            i = 0
+            while i < len(probe):
+                j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + at_once, "right")))
+                n = many[i:j]
+                x = np.repeat(probe[i:j], n)
+                y = filed[np.repeat(low[i:j] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(int(n.sum()))]
+                apart = np.bitwise_count((f0[x] ^ f0[y]).view(U64)) + np.bitwise_count((f1[x] ^ f1[y]).view(U64))  # of signed numbers it counts the absolute value
+                ok = apart <= radius
+                if ok.any():
+                    yield table(int(ok.sum()), a=cls[x[ok]], b=cls[y[ok]])
+                i = j
+            if gone:  # probes of the bucket whose first rows left
+                late = probe[own[probe] == bucket]
+                if len(late):
+                    yield table(len(late), a=cls[late], key=own[late], block=(np.arange(len(late)) + asked) // hot, side=np.ones(len(late), np.int32), f0=f0[late], f1=f1[late])
+                    asked += len(late)
+            if own[-1] != bucket:
+                bucket, gone, asked = int(own[-1]), 0, 0
+            last = filed[own[filed] == bucket]
+            if len(last) > hot:
+                n = len(last) - len(last) % hot
+                out, last = last[:n], last[n:]
+                yield table(n, b=cls[out], key=own[out], block=(np.arange(n) + gone) // hot, side=np.zeros(n, np.int32), f0=f0[out], f1=f1[out])
+                # probes of the bucket in this batch have met these rows already
+                gone += n
+            held = [x[last] for x in rows]
+
+    return run

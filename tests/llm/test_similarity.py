@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from sedimenta.llm import kernel as K
 from sedimenta.llm.components import components
 from sedimenta.llm.near_duplicates import near_duplicates
-from sedimenta.llm.similarity import bucket_pairs, pair_buckets
-from sedimenta.llm.split_overlap import conversation_text, split_overlap
+from sedimenta.llm.similarity import bucket_pairs, meet_buckets, pair_buckets
+from sedimenta.llm.split_overlap import conversation_text, shape, split_overlap, votes_of
 from sedimenta.session import Scratch
 from tests.conftest import rows
 
@@ -166,7 +166,51 @@ def test_components_equal_union_find(spark):
     assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "t"), "c").count() == 0
 
 
-def test_split_overlap_equals_brute_force(spark):
+@pytest.mark.parametrize("hot, step", [(1000, 13), (6, 13), (6, 1), (3, 900), (10, 40)])
+def test_meet_buckets_streaming(hot, step):
+    rng = np.random.default_rng(5)
+    key, side = rng.integers(0, 12, 900), rng.integers(0, 2, 900)
+    rows = np.stack([key * 2 + side, rng.integers(0, 10**6, 900), *rng.integers(-(2**62), 2**62, (2, 900))], axis=1)
+    rows = rows[np.argsort(rows[:, 0], kind="stable")]
+    ones = lambda x: bin(int(x) % (1 << 64)).count("1")
+    far = lambda x, y: ones(x[2] ^ y[2]) + ones(x[3] ^ y[3])
+    want = {(int(x[1]), int(y[1])) for x in rows for y in rows if x[0] & 1 and x[0] - 1 == y[0] and far(x, y) <= 60}
+    batches = [pa.record_batch([pa.array(rows[i : i + step, c]) for c in range(4)], ["key", "class", "f0", "f1"]) for i in range(0, 900, step)]
+    out = [r for b in meet_buckets(hot, 60, 50)(iter(batches)) for r in b.to_pylist()]
+    got = {(r["a"], r["b"]) for r in out if r["key"] is None}
+    big = [r for r in out if r["key"] is not None]
+    shelf, asked = [r for r in big if r["side"] == 0], [r for r in big if r["side"] == 1]
+    for x in asked:
+        got |= {(x["a"], y["b"]) for y in shelf if x["key"] == y["key"] and far((0, 0, x["f0"], x["f1"]), (0, 0, y["f0"], y["f1"])) <= 60}
+    sizes = {}
+    for r in big:
+        sizes[r["key"], r["side"], r["block"]] = sizes.get((r["key"], r["side"], r["block"]), 0) + 1
+    assert max(sizes.values(), default=0) <= hot
+    assert got == want and want
+
+
+def test_votes_and_recall_of_lookups():
+    """Votes equal the plain sum; of pairs at overlap 0.66, at least 0.99 share a looked-up block value."""
+    rng = np.random.default_rng(0)
+    doc, h = np.sort(rng.integers(0, 9, 5000)), rng.integers(0, 2**63, 5000).astype(np.uint64)
+    docs, votes = votes_of(doc, h, 8, step=700)
+    salt = K.mix(np.arange(1, 9, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB))
+    bits = np.unpackbits(K.mix(h[:, None] ^ salt).view(np.uint8), axis=1, bitorder="little").astype(int) * 2 - 1
+    assert (np.array([bits[doc == d].sum(0) for d in docs]) == votes).all()
+    for n in (5_000, 500_000, 50_000_000):
+        cut = shape(n, 0.6, 8, 0.01)
+        hit = 0
+        for _ in range(300):
+            both, mine, other = (rng.integers(0, 2**63, k).astype(np.uint64) for k in (32, 8, 8))
+            votes = votes_of(np.repeat([0, 1], 40), np.r_[both, mine, both, other], cut.longs)[1][:, : cut.blocks * cut.width].reshape(2, cut.blocks, cut.width)
+            rank = np.argsort(np.abs(votes[0]), axis=1, kind="stable")
+            differ = np.take_along_axis((votes[0] > 0) != (votes[1] > 0), rank, 1)
+            hit += any({tuple(np.flatnonzero(d))} & set(cut.flips) for d in differ)
+        assert hit >= 0.98 * 300
+
+
+@pytest.mark.parametrize("hot", [8192, 3])
+def test_split_overlap_equals_brute_force(spark, hot):
     texts = corpus(160, 13)
     rng = random.Random(2)
     part = {i: rng.choice(["train", " Train", "TRAIN", "val", "Test ", "held out", "HELDOUT", "other", None]) for i in texts}
@@ -177,7 +221,7 @@ def test_split_overlap_equals_brute_force(spark):
     df = spark.createDataFrame(data, "row_id long, split string, conversations array<struct<from:string,value:string>>, repo string, side string")
     joined = {i: t[:100] + "\n" + t[100:] for i, t in texts.items()}
     want = brute(joined, ok=lambda a, b: {side(a), side(b)} == {0, 1})
-    r = split_overlap(df, "row_id", conversation_text(), F.col("split"), F.col("repo"), shingle=3, threshold=0.6, min_words=20)
+    r = split_overlap(df, "row_id", conversation_text(), F.col("split"), F.col("repo"), shingle=3, threshold=0.6, min_words=20, miss=0.001, hot=hot)
     got = sorted({(min(a, b), max(a, b)) for a, b in rows(r.pairs(), "id_eval", "id_train")})
     assert got == want and want
     leaked = {i for p in want for i in p if side(i) == 1}
