@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -57,7 +58,7 @@ class Related:
         return x.join(y, F.col("x.root") == F.col("y.root")).where(F.col("x.app") < F.col("y.app")).select(F.col("x.app").alias("app_a"), F.col("y.app").alias("app_b"))
 
 
-def related_apps(apps: DataFrame, candidates: DataFrame, scratch: Scratch | None = None) -> Related:
+def related_apps(apps: DataFrame, candidates: DataFrame, scratch: Scratch | None = None, spokes: int = 4096) -> Related:
     """Components of apps tied by folder, person or object.
 
     ``apps``: app, app_dir; ``candidates``: path, author, object (all others are
@@ -76,49 +77,78 @@ def related_apps(apps: DataFrame, candidates: DataFrame, scratch: Scratch | None
     parts = path_parts(F.col("app_dir"))
     folder = apps.select("app", F.lit("folder").alias("kind"), F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), "/").alias("value"))
     keys = held.unionByName(folder).where("value is not null and value <> ''").distinct()
+    # a key of very many apps ties them to the smallest of their bin, and the bins to the smallest of all: no hub has more than `spokes` edges of either kind
     hubs = keys.groupBy("kind", "value").agg(F.min("app").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    edges = keys.join(hubs, ["kind", "value"]).where("app <> hub").select("hub", "app")
+    held = keys.join(hubs, ["kind", "value"]).withColumn("bin", F.pmod(F.xxhash64("app"), F.ceil(F.col("n") / spokes)))
+    held = scratch.write(held.select("kind", "value", "hub", "bin", "app"), "held")
+    bins = held.groupBy("kind", "value", "hub", "bin").agg(F.min("app").alias("local"))
+    edges = held.join(bins, ["kind", "value", "hub", "bin"]).select(F.col("local").alias("hub"), "app").unionByName(bins.select("hub", F.col("local").alias("app"))).where("app <> hub")
     found = components(edges, scratch, "apps")
     whole = apps.select("app").distinct().join(found.select(F.col("node").alias("app"), "root"), "app", "left").select("app", F.coalesce("root", "app").alias("root"))
     return Related(scratch.write(whole, "roots"), placed, scratch)
 
 
-def choose(histogram: list[tuple[int, int]], goal: int, residual: int = 1 << 20) -> dict[int, int]:
+def choose(histogram: list[tuple[int, int]], goal: int, residual: int = 1 << 25) -> dict[int, int]:
     """How many groups of each size to take so that the sizes sum as close to ``goal`` as possible.
 
-    Bitset subset sums over sizes with multiplicities. Goals beyond ``residual``
-    first take largest groups that fit until the rest is within it, so the
-    bitsets stay at ``residual`` bits however many records there are. Among
-    equally close sums the smaller is taken.
+    Bitset subset sums over sizes with multiplicities; for every sum the step
+    that reached it first is kept (four bytes), so memory follows the goal and
+    not the number of sizes. Goals beyond ``residual`` first take largest groups
+    until the rest is within it, which bounds bitset and steps (300 MB at the
+    default); the sum is then the closest one that holds those groups, and no
+    other is closer where it meets the goal. Among equally close sums the
+    smaller is taken.
     """
     taken: dict[int, int] = {}
-    left = dict(histogram)
-    rest = goal
-    for size in sorted((s for s in left if s > 0), reverse=True):
+    left = {s: n for s, n in histogram if s > 0 and n > 0}
+    rest = max(0, goal)
+    for size in sorted(left, reverse=True):
         if rest <= residual:
             break
         n = min(left[size], max(0, (rest - residual // 2) // size))
         if n:
             taken[size], left[size], rest = n, left[size] - n, rest - n * size
-    sizes = [(s, n) for s, n in sorted(left.items(), reverse=True) if s > 0 and n > 0]
-    limit = rest + max([s for s, _ in sizes], default=0)
-    mask = (1 << (limit + 1)) - 1
-    reach, steps = 1, []
+    sizes = [(s, n) for s, n in sorted(left.items(), reverse=True) if n]
+    if sum(s * n for s, n in sizes) <= rest:
+        for s, n in sizes:
+            taken[s] = taken.get(s, 0) + n
+        return taken
+    # what largest-first leaves open bounds how far a closer sum may be beyond the goal
+    gap = rest
+    for s, n in sizes:
+        gap -= min(n, gap // s) * s
+    limit = rest + gap
+    first = np.zeros(limit + 1, np.uint32)
+    mask, reach, steps = (1 << (limit + 1)) - 1, 1, []
     for size, count in sizes:
         power = 1
-        while count > 0:
+        while count > 0 and not reach >> rest & 1:
             n = min(power, count)
-            steps.append((size, n, reach))
-            reach |= (reach << (size * n)) & mask
             count, power = count - n, power * 2
+            if size * n > limit:
+                continue
+            steps.append((size, n))
+            moved = (reach << (size * n)) & mask
+            new = moved ^ (moved & reach)
+            if new:
+                first[_bits(new)] = len(steps)
+                reach |= new
     best = min((abs(t - rest), t) for t in _near(reach, rest))[1]
-    for size, n, before in reversed(steps):
-        if not before >> best & 1:
-            best -= size * n
-            taken[size] = taken.get(size, 0) + n
+    while best:
+        size, n = steps[first[best] - 1]
+        taken[size] = taken.get(size, 0) + n
+        best -= size * n
     return taken
 
 
+def _bits(x: int) -> np.ndarray:
+    """Positions of the ones of a number."""
+    raw = np.frombuffer(x.to_bytes(-(-x.bit_length() // 8), "little"), np.uint8)
+    some = np.flatnonzero(raw)
+    row, col = np.nonzero(np.unpackbits(raw[some, None], axis=1, bitorder="little"))
+    return some[row] * 8 + col
+
+
 def _near(reach: int, goal: int) -> list[int]:
     """The reachable sums next to the goal, below (or at) and above."""
     below = reach & ((1 << (goal + 1)) - 1)
@@ -134,7 +164,7 @@ def assign_splits(groups: DataFrame, shares: dict[str, float], scratch: Scratch,
 
     Splits are filled in the order of ascending share; the last takes the rest.
     The driver sees one row per distinct size (their number grows as the square
-    root of the records). Which groups of one size go where follows a seeded
+    root of the records), and works in memory bounded by :func:`choose`. Which groups of one size go where follows a seeded
     hash; they are ranked in 1024 buckets, so a size that most groups have is
     never one task. Groups of size 0 follow the hash alone.
     """
@@ -145,7 +175,7 @@ def assign_splits(groups: DataFrame, shares: dict[str, float], scratch: Scratch,
     quota: list[tuple[str, dict[int, int]]] = []
     left = dict(histogram)
     for name in order[:-1]:
-        take = choose(list(left.items()), round(total * shares[name]))
+        take = choose(list(left.items()), int(total * shares[name] + 0.5))
         quota.append((name, take))
         left = {s: n - take.get(s, 0) for s, n in left.items()}
     limits = [(s, i, name, take.get(s, 0)) for i, (name, take) in enumerate(quota) for s in histogram if take.get(s, 0)]
@@ -169,7 +199,7 @@ def assign_splits(groups: DataFrame, shares: dict[str, float], scratch: Scratch,
 
 
 def group_splits(apps: DataFrame, members: DataFrame, candidates: DataFrame, shares: dict[str, float], scratch: Scratch | None = None) -> DataFrame:
-    """(origin, record_id, app, split): every member and candidate with its split.
+    """(origin, record_id, app, grp, split): every member and candidate with its group and split; groups of related apps are named app:smallest.
 
     ``apps``: app, app_dir; ``members``: record_id, path, app_dir; ``candidates``:
     record_id, path, author, object. Shares are of candidates. Records in no app
@@ -189,4 +219,4 @@ def group_splits(apps: DataFrame, members: DataFrame, candidates: DataFrame, sha
     located = located.join(related.apps, "app", "left").select("origin", "record_id", "app", F.coalesce(F.concat(F.lit("app:"), F.col("root").cast("string")), alone).alias("grp"))
     located = scratch.write(located, "located")
     groups = located.groupBy("grp").agg(F.sum((F.col("origin") == "candidates").cast("long")).alias("size"))
-    return located.join(assign_splits(groups, shares, scratch), "grp").select("origin", "record_id", "app", "split")
+    return located.join(assign_splits(groups, shares, scratch), "grp").select("origin", "record_id", "app", "grp", "split")

@@ -33,6 +33,12 @@ SQL = {
     "p1_found": f"WITH {_P1} SELECT DISTINCT least(a, b) AS row_id_a, greatest(a, b) AS row_id_b FROM pairs",
     "p1_report": f"WITH {_P1} SELECT part AS split, repo, count(DISTINCT id) AS n_records, count(DISTINCT CASE WHEN id IN (SELECT a FROM pairs) THEN id END) AS n_leaked FROM (SELECT g.*, w.id AS wid FROM g JOIN w ON g.id = w.id) WHERE part IN ('val', 'heldout', 'test') GROUP BY ALL",
     "p3_found": f"WITH RECURSIVE {_RELATED} SELECT a AS app_id_a, b AS app_id_b FROM r WHERE a < b",
+    "p3_totals": "SELECT s.split, CASE s.split WHEN 'train' THEN n - 2 * floor(n * 0.1 + 0.5)::BIGINT ELSE floor(n * 0.1 + 0.5)::BIGINT END AS n_candidates FROM (VALUES ('train'), ('validation'), ('test')) s(split), (SELECT count(DISTINCT cand_id) AS n FROM candidates) WHERE n > 0",
+    "p3_groups": f"""WITH RECURSIVE {_RELATED}, {_M}, {_place('m', 'path', 'mp')}, {_place('m', 'app_dir', 'md')},
+      root AS (SELECT app_id, least(app_id, coalesce(min(r.b), app_id)) AS root FROM apps LEFT JOIN r ON r.a = app_id GROUP BY app_id),
+      rec AS (SELECT 'candidates' AS origin, cand_id AS id, pp.app FROM c JOIN pp ON c.path = pp.path UNION ALL
+        SELECT 'members', member_id, coalesce(mp.app, md.app) FROM m LEFT JOIN mp ON m.path = mp.path LEFT JOIN md ON m.app_dir = md.path)
+      SELECT root AS app_id, count(*) FILTER (origin = 'candidates') AS n_candidates, count(*) FILTER (origin = 'members') AS n_members, 1::BIGINT AS n_splits FROM rec JOIN root ON rec.app = root.app_id GROUP BY root""",
     "p4_found": f"WITH {_M}, t AS (SELECT member_id AS id, member_text AS t FROM m), {_pairs('t')} SELECT a AS member_id_a, b AS member_id_b FROM pairs",
     "p4_groups": f"""WITH RECURSIVE {_M}, t AS (SELECT member_id AS id, member_text AS t FROM m), {_pairs('t')},
       k AS (SELECT id, min(id) OVER (PARTITION BY list_sort(s)) AS copy_of, count(*) OVER (PARTITION BY list_sort(s)) AS copies FROM s),

@@ -82,6 +82,17 @@ def p3_report(spark: SparkSession, sf: str) -> DataFrame:
     return n.join(total, "origin").select("origin", "split", "n_records", F.round(F.col("n_records") / F.col("total"), 6).alias("share"))
 
 
+def p3_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates per split: the totals that subset sums reach."""
+    return _splits(spark, sf).where("origin = 'candidates'").groupBy("split").agg(F.count("*").alias("n_candidates"))
+
+
+def p3_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of related apps by their smallest app, with their records, and the splits these are in (one)."""
+    s = _splits(spark, sf).where("app is not null").groupBy(F.substring_index("grp", ":", -1).cast("long").alias("app_id"))
+    return s.agg(F.count_if(F.col("origin") == "candidates").alias("n_candidates"), F.count_if(F.col("origin") == "members").alias("n_members"), F.countDistinct("split").alias("n_splits"))
+
+
 def _members_alike(spark: SparkSession, sf: str):
     return near_duplicates(_table(spark, sf, "members"), "member_id", "member_text", shingle=3, threshold=0.6, min_words=20)
 
@@ -148,6 +159,8 @@ def queries() -> dict[str, Query]:
         "p3_found": p3_found,
         "p3_splits": p3_splits,
         "p3_report": p3_report,
+        "p3_totals": p3_totals,
+        "p3_groups": p3_groups,
         "p4_found": p4_found,
         "p4_groups": p4_groups,
         "p5_found": p5_found,

@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import tracemalloc
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -29,6 +30,24 @@ def test_subset_sums_of_large_goals_stay_small():
     assert sum(s * n for s, n in taken.items()) == 10**9 + 3
 
 
+def test_subset_sums_need_little_memory():
+    """Many sizes and one group larger than any goal: the exact sum, in memory that follows the goal."""
+    hist = [(s, 30) for s in range(1, 1401)] + [(20_000_000, 1)]
+    goal = sum(s * n for s, n in hist) // 10
+    tracemalloc.start()
+    taken = S.choose(hist, goal)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(s * n for s, n in taken.items()) == goal and peak < 2e8
+
+
+def test_a_key_of_many_apps_has_no_large_hub(spark):
+    apps = spark.range(0, 300).select(F.col("id").alias("app"), F.format_string("src/P%d/App", "id").alias("app_dir"))
+    cands = spark.range(0, 300).select(F.format_string("src/P%d/App/x.al", "id").alias("path"), F.when(F.col("id") < 250, "ann").alias("author"), F.lit(None).cast("string").alias("object"))
+    got = S.related_apps(apps, cands, spokes=20).apps
+    assert sorted(got.groupBy("root").count().select("count").toPandas()["count"].tolist()) == [1] * 50 + [250]
+
+
 def test_persons_and_things(spark):
     df = spark.createDataFrame([("@Keen-Plover-0A",), (" keen plover_0a ",), ("KEEN-PLOVER-0A <k@x.y>",), ("n/a",), ("Unknown",), ("build-agent",), ("merge-queue",), ("dependabot[bot]",), ("",), (None,), ("abbot",)], "a string")
     got = [r[0] for r in df.select(S.person(F.col("a"))).collect()]
