@@ -3,11 +3,15 @@ import random
 import re
 import tracemalloc
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sedimenta.llm import group_splits as S
+from sedimenta.llm import leakage
 from sedimenta.llm.leakage import leaked_items, reparameterised_items
 from sedimenta.llm.mixture import mix, repetition_rates
 from sedimenta.session import Scratch
@@ -127,24 +131,59 @@ def test_leaks_equal_brute_force(spark):
                 want.add((d, i))
     df = spark.createDataFrame([(d, t, 0, "x") for d, t in [*docs.items(), (0, docs[0])]], "doc_id long, text string, pos int, template string")
     it = spark.createDataFrame(list(items.items()), "item_id long, text string")
-    for inline in (1_000_000, 0):
-        assert rows(leaked_items(df, "doc_id", "text", it, "item_id", "text", inline=inline), "doc_id", "item_id") == sorted(want, key=repr)
+    for bits in (24, 7):  # a small bit array lets more windows pass, which changes nothing
+        assert rows(leaked_items(df, "doc_id", "text", it, "item_id", "text", filter_bits=bits), "doc_id", "item_id") == sorted(want, key=repr)
     assert want
     assert leaked_items(df.limit(0), "doc_id", "text", it, "item_id", "text").count() == 0
     assert leaked_items(df, "doc_id", "text", it.limit(0), "item_id", "text").count() == 0
 
 
-def test_long_texts_are_read_in_stretches(monkeypatch, spark):
-    import pyarrow as pa
-
-    from sedimenta.llm import leakage
-
+def test_long_texts_are_read_in_stretches(monkeypatch):
     texts = [" ".join(f"w{(i * 7 + k) % 50}" for i in range(300)) for k in range(3)] + ["short text", ""]
     batch = pa.record_batch([pa.array(range(5)), pa.array(texts)], ["id", "text"])
-    flat = lambda stretch: sorted(tuple(r.items()) for b in leakage._windows(12, False, None, stretch)(iter([batch])) for r in b.to_pylist())
+    none = leakage.Bits(np.zeros(1, np.uint64))
+
+    def flat(stretch):
+        monkeypatch.setattr(leakage, "STRETCH", stretch)
+        return sorted((r["id"], r["pos"], r["key"]) for b in leakage._windows(12, (none, none), None)(iter([batch])) for r in b.to_pylist())
+
     assert flat(10**6) == flat(37) == flat(12) and len(flat(37)) == 3 * 289
 
 
+def test_words_are_typed_by_shape_and_use(spark):
+    texts = ["Anna waits 30 kilometer for Anna", "we saw Anna go 7 kilometer to the depot", "the wait for code4you is long", "Wait for the depot"]
+    items = spark.createDataFrame([(1, texts[0]), (2, texts[2]), (3, texts[3])], "id long, text string")
+    every = leakage.Bits(np.full(1, ~np.uint64(0)))
+    facts = items.sparkSession.createDataFrame([(9, texts[1])], "id long, text string").unionByName(items).coalesce(1).mapInArrow(leakage._uses(every), "h bigint, low bigint, named bigint, counted bigint, mixed boolean").collect()
+    got = {r["h"]: (r["low"], r["named"], r["counted"], r["mixed"]) for r in facts}
+    of = lambda w: got[xxhash.xxh3_64_intdigest(w) - (1 << 64) * (xxhash.xxh3_64_intdigest(w) >> 63)]
+    assert of("anna") == (0, 2, 0, False) and of("kilometer") == (2, 0, 2, False) and of("code4you")[3] and of("wait") == (1, 0, 0, False)
+
+
+def test_planted_variants_are_found(spark):
+    """Items with other names, numbers and units: at least 0.9 of them are found, and with no other item."""
+    rng = random.Random(5)
+    plain = "open close check whether each pending entry needs approval before nightly posting starts because some users still work on older drafts and nobody wants lost data".split()
+    name = lambda: "".join(rng.choice(["Blue", "Kiln", "Post", "Ledger", "Crane", "Open", "Batch", "Shift"]) for _ in range(3)) + rng.choice("abcdefgh")
+
+    def question():
+        words = rng.sample(plain, 18)
+        for at in sorted(rng.sample(range(19), 4), reverse=True):
+            words.insert(at, rng.choice(["{n}", "{n}", "{d}"]))
+        return " ".join(words)
+
+    def filled(frame):
+        return re.sub(r"\{.\}", lambda m: name() if m.group() == "{n}" else str(rng.randrange(10**5)), frame)
+
+    frames_ = [question() for _ in range(60)]
+    items = [(i, filled(f)) for i, f in enumerate(frames_)]
+    docs = [(i, f"Some words first. {filled(frames_[i % 60])} and some after.") for i in range(120)] + [(1000 + i, " ".join(rng.choice(plain) for _ in range(80))) for i in range(60)]
+    d, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = set(rows(reparameterised_items(d, "doc_id", "text", it, "item_id", "text"), "doc_id", "item_id"))
+    want = {(i, i % 60) for i in range(120)}
+    assert len(got & want) >= 0.9 * len(want) and not got - want
+
+
 def test_reparameterised_items(spark):
     item = "Add a guard to CollectStandardShift which compares CheckLegacyContract with RegisterRankedLadder and raises code 5995 when CollectStandardShift is older than 30 days in the batch run"
     swap = {"CollectStandardShift": "AssignForeignCrane", "CheckLegacyContract": "OpenModularKiln", "RegisterRankedLadder": "CloseExpiredDepot", "5995": "17", "30": "8"}
@@ -160,9 +199,9 @@ def test_reparameterised_items(spark):
 def test_short_plain_and_repeated_passages_are_variants(spark):
     plain = "the quick brown fox jumps over the lazy dog and then it rests under one old tree until the next morning comes back again"
     asks = [f"Please answer the following question and explain for codeunit Collect{c}StandardShift how long the {w} runs" for c, w in zip("abcdefghijkl", "one two six ten red tan big dim wet hot old new".split())]
-    short = "In codeunit BuildRankedPallet the posting of RefreshBlockedBuffer must stop after 874 rows"
+    short = "in codeunit BuildRankedPallet the posting of RefreshBlockedBuffer must stop after 874 rows"
     items = spark.createDataFrame([(1, plain), (2, short), (3, " ".join(f"{n}" for n in range(40, 53))), *[(10 + k, a) for k, a in enumerate(asks)]], "item_id long, text string")
-    other = "In codeunit CompareOpenPayment the posting of ImportVirtualRebate must stop after 17 rows"
+    other = "in codeunit CompareOpenPayment the posting of ImportVirtualRebate must stop after 17 rows"
     docs = {
         1: f"x {plain} y",  # no slot at all
         2: f"see {' '.join(plain.split()[:12])} and more",  # twelve words, no slot
