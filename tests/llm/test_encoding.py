@@ -107,3 +107,51 @@ def test_lower_cased_garbling_without_a_twin(spark):
     r = repair_encoding(spark.createDataFrame([*clean, *bad, alone], "doc_id long, text string"), "doc_id", "text")
     assert {x[0] for x in rows(r.found())} == {i for i, _ in bad} | {200}
     assert {x.id: x.text for x in r.repaired().collect()}[200] == "ein türöffner"
+
+
+OWN = tuple(zip("éüöä", "Þ¯¬¦"))
+WORDS = ["Une année créée après été, la clé perdue", "Über fünf Bücher müssen zurück zur Tür", "Schöne Größen können böse Töne hören", "Später wählen wir Käse, Äpfel und Gläser, nächste Jahre"]
+
+
+@pytest.mark.parametrize("chain", [("utf-8", "cp1257"), ("utf-8", "cp775"), ("cp1252", "cp1253"), (OWN, None)])
+def test_transformations_in_no_list_are_inferred(spark, chain):
+    """Two encodings that are not among the usual ones, and a mapping that no two encodings explain."""
+    assert chain not in E.CHAINS
+    lines = CLEAN[:5] if chain[1] else WORDS
+    clean = [(i, f"{lines[i % len(lines)]} number {i}") for i in range(60)]
+    bad = {100 + i: (E.garble(s, chain), s) for i in range(50) for s in [f"{lines[i % len(lines)]} note {i}"]}
+    bad = {i: x for i, x in bad.items() if x[0] != x[1]}
+    r = repair_encoding(spark.createDataFrame([*clean, *((i, g) for i, (g, _) in bad.items())], "doc_id long, text string"), "doc_id", "text")
+    found = {x[0] for x in rows(r.found())}
+    assert found <= set(bad) and len(found) >= 0.9 * len(bad)
+    fixed = {x.id: x.text for x in r.repaired().collect()}
+    assert sum(fixed.get(i) == s for i, (_, s) in bad.items()) >= 0.9 * len(bad)
+
+
+def test_what_explains_alignments():
+    pair = ("cp1252", "cp1253")
+    seen = [(E.garble(ch, pair), ch, 4) for ch in "éüöäß" if E.garble(ch, pair) != ch]
+    got = E.infer(seen, 3, known=[])
+    assert got and all(any(E.garble(ch, c) == g for c in got) for g, ch, _ in seen)
+    assert E.infer([("Ã¼", "ü", 9), ("Ã¶", "ö", 9)], 3) == []  # known
+    assert E.infer([("☃", "ü", 9), ("☃", "ö", 5), ("☄", "ö", 2)], 3) == []  # ambiguous, or shown by too few
+    assert E.infer([("☃", "ü", 9)], 3) == [((("ü", "☃"),), None)]
+    assert E.aligned("PrÃ¼fgrÃ¶ÃŸe", "Prüfgröße") == [("Ã¼", "ü"), ("Ã¶", "ö"), ("ÃŸ", "ß")]
+    assert E.aligned("für", "fur") == E.aligned("für", "für") == E.aligned("f�r", "für") == E.aligned("fér", "für") == []
+
+
+def test_words_of_other_alphabets_have_keys_of_their_own():
+    russian = "Настройка журнала, поле: подпись и сумма"
+    greek = "Ο λογαριασμός είναι κλειστός"
+    keys = [k for *_, k in E.cells(f"{russian}\n{greek}")]
+    assert len(set(keys)) == len(keys) == 10
+    assert keys[:6] == [k for *_, k in E.cells(E.garble(russian, ("utf-8", "cp1252")).replace("\xa0", "¶"))]
+
+
+def test_garbled_text_of_another_alphabet(spark):
+    lines = ["Настройка журнала, поле: подпись и сумма", "Сумма заказа - без скидки (всего), к оплате", "Клиент: новый адрес; старый счет закрыт"]
+    data = [(i, lines[i % 3]) for i in range(30)]
+    bad = [(100 + i, E.garble(lines[i % 3], ("utf-8", "cp1252"))) for i in range(6)]
+    r = repair_encoding(spark.createDataFrame([*data, *bad], "doc_id long, text string"), "doc_id", "text")
+    assert {x[0] for x in rows(r.found())} == {i for i, _ in bad}
+    assert sum(x.text == lines[(x.id - 100) % 3] for x in r.repaired().collect()) >= 5
