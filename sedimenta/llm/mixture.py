@@ -7,6 +7,8 @@ import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,13 +37,29 @@ def source_key(col: F.Column) -> F.Column:
 
 
 def token_counts(df: DataFrame, keep: list[str], text_col: str, tokenizer: str) -> DataFrame:
-    """``keep`` columns and n_tokens of each text; a null text has 0."""
+    """``keep`` columns and n_tokens of each text; a null text has 0.
+
+    The tokenizer's file goes along to the executors. A task encodes a text once
+    for as long as it remembers its hash, so a text that very many rows hold costs next to nothing.
+    """
+    df.sparkSession.sparkContext.addFile(tokenizer)
+    name = os.path.basename(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoding(tokenizer)
+        enc = encoding(SparkFiles.get(name))
+        known: dict[bytes, int] = {}
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            n = [len(enc.encode_ordinary(t)) if t else 0 for t in texts]
+            n = []
+            for text in batch.column(len(keep)).to_pylist():
+                if not text:
+                    n.append(0)
+                    continue
+                h = xxhash.xxh3_128_digest(text)
+                if h not in known:
+                    if len(known) >= 200_000:  # bounds memory, changes no result
+                        known.clear()
+                    known[h] = len(enc.encode_ordinary(text))
+                n.append(known[h])
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(n, pa.int64())], [*keep, "n_tokens"])
 
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + ", n_tokens bigint"
@@ -94,8 +112,8 @@ class Mixture:
 def mix(documents: DataFrame, doc_id: str, text_col: str, source_col: str, targets: DataFrame, *, total_tokens: int | None = None, tokenizer: str = DEFAULT_TOKENIZER, seed: int = 29, scratch: Scratch | None = None) -> Mixture:
     """Use each wanted source's texts at rates that meet its share of ``total_tokens``.
 
-    ``targets``: source, target_share, max_repeats, one row per source (a small
-    table by nature: it is read by the driver, at most 100,000 rows).
+    ``targets``: source, target_share, max_repeats; the driver reads them and the
+    token counts of their sources, one row per wanted source.
     ``total_tokens`` defaults to all tokens of the wanted sources. A text stands
     once, however many documents repeat it, for the wanted source of its
     smallest id, so no text is used more than ``max_repeats`` times. A text is
@@ -111,14 +129,11 @@ def mix(documents: DataFrame, doc_id: str, text_col: str, source_col: str, targe
     scratch = scratch or Scratch(spark, "mix")
     t = targets.select(source_key(F.col("source")).alias("source"), F.greatest(F.coalesce("target_share", F.lit(0.0)), F.lit(0.0)).alias("target_share"), F.greatest(F.coalesce("max_repeats", F.lit(0)), F.lit(0)).alias("max_repeats"))
     t = t.where("source is not null").groupBy("source").agg(F.max(F.struct("target_share", "max_repeats")).alias("s")).select("source", "s.*")
-    rows = t.limit(100_001).collect()
-    if len(rows) > 100_000:
-        raise ValueError("more than 100,000 target sources")
-    wanted = {r["source"]: (r["target_share"], r["max_repeats"]) for r in rows}
+    wanted = {r["source"]: (r["target_share"], r["max_repeats"]) for r in t.toLocalIterator()}
 
     base = documents.select(F.col(doc_id).alias("doc_id"), F.col(text_col).alias("text"), source_key(F.col(source_col)).alias("source")).where("doc_id is not null and length(text) > 0")
-    some = spark.createDataFrame([(s,) for s, (share, _) in wanted.items() if share > 0], "source string")  # bounded above, so it may be broadcast
-    base = base.join(F.broadcast(some), "source", "left_semi").withColumn("h1", F.xxhash64("text")).withColumn("h2", F.hash("text"))
+    some = spark.createDataFrame([(s,) for s, (share, _) in wanted.items() if share > 0], "source string")  # whether it is small enough to broadcast is seen from its size
+    base = base.join(some, "source", "left_semi").withColumn("h1", F.xxhash64("text")).withColumn("h2", F.hash("text"))
     sized = scratch.write(token_counts(base, ["doc_id", "source", "h1", "h2"], "text", tokenizer), "sized")
     texts = sized.groupBy("h1", "h2", "n_tokens").agg(F.min(F.struct("doc_id", "source")).alias("d")).select("d.doc_id", "d.source", "n_tokens")
     texts = scratch.write(texts, "texts")
@@ -127,7 +142,7 @@ def mix(documents: DataFrame, doc_id: str, text_col: str, source_col: str, targe
     rates = repetition_rates(have, wanted, total_tokens if total_tokens is not None else sum(have.values()))
     table = spark.createDataFrame([(s, *wanted[s], rates[s]) for s in sorted(wanted)], "source string, target_share double, max_repeats int, rate double")
     u = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    rated = texts.join(F.broadcast(table.select("source", "rate")), "source")
+    rated = texts.join(table.select("source", "rate"), "source")
     copies = (F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
     used = rated.withColumn("copies", copies).where("copies > 0").select("doc_id", "source", "n_tokens", "copies")
     full = table.join(stats, "source", "left").select("source", "target_share", "max_repeats", F.coalesce("n_texts", F.lit(0)).alias("n_texts"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), F.round("rate", 6).alias("rate"))

