@@ -114,10 +114,19 @@ def m_remove_var_decl(s: Source, m: dict):
     return s.splice(s.t[name].start, s.t[end].end, ""), f"removed the declaration of {s.t[name].text}"
 
 
+def _misspelt(t: Token) -> str:
+    """A name with a letter less: the last of a quoted one, the last but one of a type; short ones get one more."""
+    if t.kind == "quoted":
+        return _named(t, lambda n: n[:-1] if len(n) > 3 else n + "X")
+    return t.text[:-2] + t.text[-1] if len(t.text) > 4 else t.text + "x"
+
+
 def m_rename_type(s: Source, m: dict):
     for _, kind, end in s.locals():
-        at = kind + 1 if kind + 1 < end and s.t[kind + 1].kind in ("word", "quoted") and s.t[kind + 1].low != "temporary" else kind
-        return s.splice(s.t[at].start, s.t[at].end, _named(s.t[at], lambda n: n + "Xyz")), f"misspelled the type {s.t[at].text}"
+        subtype = kind + 1 < end and s.t[kind + 1].kind in ("word", "quoted") and s.t[kind + 1].low != "temporary"
+        t = s.t[kind + 1 if subtype else kind]
+        new = t.text + "X" if subtype and t.kind == "word" else _misspelt(t)
+        return s.splice(t.start, t.end, new), f"misspelled the type {t.text} as {new}"
     return None
 
 

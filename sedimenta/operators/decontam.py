@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,46 +38,59 @@ def equal_prompts(df: DataFrame, text: Column, block: DataFrame) -> DataFrame:
     return df.withColumn("_b", F.sha2(norm(text), 256)).join(b, "_b", "left_semi").drop("_b")
 
 
-def containing(df: DataFrame, id_col: str, text: Column, items: DataFrame, item_id: str, item_text: str, *, min_chars: int = 40, inline_chars: int = 32_000_000) -> DataFrame:
+def _grams(words: Column, n: int) -> Column:
+    """Hashes of the runs of n words."""
+    run = lambda i: F.xxhash64(F.lit(n), *[F.get(words, i + k) for k in range(n)])
+    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(0), F.size(words) - n), run)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _pieces(word: Column, n: int) -> Column:
+    """Hashes of the stretches of n characters of a word of at least so many."""
+    return F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.xxhash64(F.lit(-n), F.substring(word, i, F.lit(n))))
+
+
+def containing(df: DataFrame, id_col: str, text: Column, items: DataFrame, item_id: str, item_text: str, *, min_chars: int = 40) -> DataFrame:
     """(id, item): rows whose normalised text contains an item's whole normalised text of at least ``min_chars``.
 
-    One pass per text over all items at once (an automaton), as long as the
-    items are within ``inline_chars``; larger item sets fall back to a nested
-    loop join, with the same result. Null texts contain nothing.
+    An item may begin and end inside a word of the text, but the words between
+    stand in it whole: three of them (or the longest, where there are only one or
+    two; or, in items of one or two words, half ``min_chars`` characters of the
+    longer one) are a key, by which texts and items meet in an equi-join, and
+    only what meets is compared. Null texts contain nothing.
     """
+    half = min_chars // 2
     i = items.select(F.col(item_id).alias("item"), norm(F.col(item_text)).alias("p")).where(F.length("p") >= min_chars).distinct()
+    words = F.split("p", " ")
+    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(1)))
+    longest = lambda a: F.array_max(F.transform(a, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    three = F.xxhash64(F.lit(3), *[F.get(inner, F.lit(k)) for k in range(3)])
+    one, part = F.xxhash64(F.lit(1), longest(inner)), F.xxhash64(F.lit(-half), F.substring(longest(words), 1, half))
+    i = i.withColumn("key", F.when(F.size(words) >= 5, three).when(F.size(words) >= 3, one).otherwise(part))
     base = df.select(F.col(id_col).alias("id"), norm(text).alias("t")).where("id is not null and t <> ''")
-    size = i.agg(F.coalesce(F.sum(F.length("p")), F.lit(0))).first()[0]
-    if size > inline_chars:
-        return base.join(i, F.contains("t", "p")).select("id", "item").distinct()
-    patterns: dict[str, list] = {}
-    for r in i.toLocalIterator():
-        patterns.setdefault(r["p"], []).append(r["item"])
-    kinds = (base.schema["id"].dataType.simpleString(), i.schema["item"].dataType.simpleString())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
-
-        auto = ahocorasick.Automaton()
-        for p, ids in patterns.items():
-            auto.add_word(p, ids)
-        if patterns:
-            auto.make_automaton()
-        for batch in batches:
-            rows = []
-            if patterns:
-                for rid, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    rows += [(rid, x) for x in {x for _, ids in auto.iter(t) for x in ids}]
-            a, b = zip(*rows) if rows else ((), ())
-            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["id", "item"])
-
-    return base.withColumn("id", F.col("id").cast("long")).mapInArrow(run, "id bigint, item bigint").select(F.col("id").cast(kinds[0]).alias("id"), F.col("item").cast(kinds[1]).alias("item"))
-
-
-def path_contaminated(path: Column, fragments: DataFrame, df: DataFrame) -> DataFrame:
-    """Rows whose path contains a blocked fragment; separators made equal, empty fragments ignored."""
-    f = fragments.select(F.replace(F.col(fragments.columns[0]), F.lit("\\"), F.lit("/")).alias("_f")).where("_f <> ''").distinct()
-    return df.withColumn("_p", F.replace(path, F.lit("\\"), F.lit("/"))).join(f, F.contains("_p", "_f"), "left_semi").drop("_p")
+    w = F.col("w")
+    long_ = F.flatten(F.transform(F.filter(w, lambda x: F.length(x) >= half), lambda x: _pieces(x, half)))
+    keys = base.select("id", F.split("t", " ").alias("w")).select("id", F.explode(F.array_distinct(F.concat(_grams(w, 3), _grams(w, 1), long_))).alias("key"))
+    met = keys.join(i.select("key", "item"), "key").select("id", "item").distinct()
+    both = met.join(base.distinct(), "id").join(i.select("item", "p"), "item")
+    return both.where(F.contains("t", "p")).select("id", "item").distinct()
+
+
+def path_contaminated(path: Column, fragments: DataFrame, df: DataFrame, *, outside: bool = False) -> DataFrame:
+    """Rows whose path contains a blocked fragment, or, ``outside``, all others; separators made equal, empty fragments ignored.
+
+    Paths and fragments meet by the fragment's first eight characters (or all of
+    a shorter one), each distinct path once; only what meets is compared.
+    """
+    slashes = lambda c: F.replace(c, F.lit("\\"), F.lit("/"))
+    f = fragments.select(slashes(F.col(fragments.columns[0])).alias("_f")).where("_f <> ''").distinct().withColumn("_n", F.least(F.length("_f"), F.lit(8)))
+    f = f.withColumn("_k", F.substring(F.col("_f"), F.lit(1), F.col("_n")))
+    marked = df.withColumn("_p", slashes(path))
+    p = marked.select("_p").where("_p is not null").distinct()
+    sizes = f.select("_n").distinct()  # eight rows at most
+    at = F.sequence(F.lit(1), F.length("_p") - F.col("_n") + 1)
+    grams = p.join(F.broadcast(sizes), F.length("_p") >= F.col("_n")).select("_p", F.explode(F.array_distinct(F.transform(at, lambda i: F.substring(F.col("_p"), i, F.col("_n"))))).alias("_k"))
+    hit = grams.join(f, "_k").where(F.contains("_p", "_f")).select("_p").distinct()
+    return marked.join(hit, "_p", "left_anti" if outside else "left_semi").drop("_p")
 
 
 def licence_gate(df: DataFrame, repo: str, sources: DataFrame, *, strict: bool = False) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import norm, shingles
 from ..session import Scratch
+from .components import components
 
 
 def one_per_id(df: DataFrame, id_col: str, *drop: str) -> DataFrame:
@@ -71,32 +75,60 @@ def minhash_bands(df: DataFrame, id_col: str, text: Column, *scope: str, k: int
     return low.select("id", F.explode(F.array(*keys)).alias("band"))
 
 
-def keep_first(ids: DataFrame, bands: DataFrame, scratch: Scratch, max_rounds: int = 100) -> DataFrame:
+def keep_first(ids: DataFrame, bands: DataFrame, scratch: Scratch, rounds: int = 6) -> DataFrame:
     """The ids a sequential pass in id order would keep: a row stays iff it shares no band with an earlier kept row.
 
     ``ids``: one column; ``bands``: (id, band). Bands with one row decide
     nothing and are left out. A round looks at each band's smallest kept and
     smallest open row: a row with a smaller kept one in any band is dropped, a
     row that is the smallest open one in all its bands is kept. No pairs are
-    formed, so a band of a third of all rows costs its rows and no more.
+    formed, so a band of a third of all rows costs its rows and no more. What
+    long chains leave open after ``rounds`` is finished per connected component:
+    its open rows stream in id order past the bands kept so far.
     """
     name = ids.columns[0]
     bands = scratch.write(bands, "all-bands")
     many = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     held = scratch.write(bands.join(many, "band").distinct(), "bands")
     state = scratch.write(held.select("id").distinct().withColumn("state", F.lit(0)), "state0")
-    for i in range(1, max_rounds + 1):
+    left = rounds
+    while left and state.where("state = 0").limit(1).count():
         live = held.join(state.where("state <> 2"), "id")
         per = live.groupBy("band").agg(F.min(F.when(F.col("state") == 1, F.col("id"))).alias("kept"), F.min(F.when(F.col("state") == 0, F.col("id"))).alias("open"))
         seen = live.where("state = 0").join(per, "band").groupBy("id").agg(F.max((F.col("kept") < F.col("id")).cast("int")).alias("beaten"), F.min((F.col("open") == F.col("id")).cast("int")).alias("first"))
         nxt = F.when(F.col("state") != 0, F.col("state")).when(F.col("beaten") == 1, 2).when(F.col("first") == 1, 1).otherwise(0)
-        state = scratch.write(state.join(seen, "id", "left").select("id", nxt.alias("state")), f"state{i}")
-        if not state.where("state = 0").limit(1).count():
-            break
-    else:
-        raise RuntimeError("keep_first did not settle")
-    dropped = state.where("state = 2").select(F.col("id").alias(name))
-    return ids.where(F.col(name).isNotNull()).join(dropped, name, "left_anti")
+        left -= 1
+        state = scratch.write(state.join(seen, "id", "left").select("id", nxt.alias("state")), f"state{rounds - left}")
+    dropped = state.where("state = 2").select("id")
+    if state.where("state = 0").limit(1).count():
+        live = held.join(state.where("state <> 2"), "id")  # with those already kept, which the open ones may meet
+        dropped = dropped.unionByName(_in_order(live.join(live.where("state = 0").select("band").distinct(), "band"), scratch))
+    return ids.where(F.col(name).isNotNull()).join(dropped.withColumnRenamed("id", name), name, "left_anti")
+
+
+def _in_order(bands: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id) of the open rows of (id, band, state) that lose against an earlier one; rows of a component in id order, in one pass of its own."""
+    hubs = bands.groupBy("band").agg(F.min("id").alias("hub"))
+    edges = bands.join(hubs, "band").select("hub", "id")  # loops keep rows that no other meets
+    roots = components(edges, scratch, "open")
+    kind = bands.schema["id"].dataType.simpleString()
+    rows = bands.join(roots.withColumnRenamed("node", "id"), "id").groupBy("root", "id").agg(F.collect_set("band").alias("held"), F.max("state").alias("state"))
+    rows = rows.repartition("root").sortWithinPartitions("root", "id").select("root", "id", "held", "state")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, kept = None, set()
+        for batch in batches:
+            lost = []
+            for n, (root, held, sure) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)))):
+                if root != now:
+                    now, kept = root, set()
+                if sure or kept.isdisjoint(held):
+                    kept.update(held)
+                else:
+                    lost.append(n)
+            yield pa.record_batch([batch.column(1).take(pa.array(lost, pa.int32()))], ["id"])
+
+    return rows.mapInArrow(run, f"id {kind}")
 
 
 def drop_repeated_paragraphs(text: Column) -> Column:

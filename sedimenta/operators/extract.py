@@ -63,6 +63,10 @@ DIAGNOSTIC = r"^([^\n(]*)\((\d+),(\d+)\):\s+(error|warning|info|hidden)\s+([A-Z]
 ANALYZER_PREFIXES = ("AA", "AC", "AW", "DC", "FC", "LC", "PC", "TA", "UI")
 
 
+#: Those whose findings the compile gate counts; the page rules are none of its business.
+GATE_PREFIXES = ("AA", "AC", "DC", "FC", "LC", "PC", "TA", "UI")
+
+
 def parse_diagnostics(logs: DataFrame, log_col: str, *keep: str) -> DataFrame:
     """(keep, path, line, col, severity, code, message): one row per diagnostic line of a log; other lines give none."""
     line = logs.where(F.col(log_col).isNotNull()).select(*keep, F.explode(F.split(log_col, "\r?\n")).alias("_l")).where(F.rlike("_l", F.lit(DIAGNOSTIC)))
@@ -70,8 +74,23 @@ def parse_diagnostics(logs: DataFrame, log_col: str, *keep: str) -> DataFrame:
     return line.select(*keep, F.replace(part(1), F.lit("\\"), F.lit("/")).alias("path"), part(2).cast("int").alias("line"), part(3).cast("int").alias("col"), part(4).alias("severity"), part(5).alias("code"), part(6).alias("message"))
 
 
-def is_analyzer(code: Column) -> Column:
-    return F.substring(code, 1, 2).isin(*ANALYZER_PREFIXES)
+# A diagnostic without a position, anywhere in a line.
+LOOSE_DIAGNOSTIC = r"\b(error|warning|info|hidden)\s+([A-Z]{2,3}\d{3,4}i?):\s*(.*)$"
+
+
+def parse_loose(logs: DataFrame, log_col: str, *keep: str) -> DataFrame:
+    """(keep, severity, code, message): one row per line of a log that holds a diagnostic, with or without a position."""
+    line = logs.where(F.col(log_col).isNotNull()).select(*keep, F.explode(F.split(log_col, "\r?\n")).alias("_l")).where(F.rlike("_l", F.lit(LOOSE_DIAGNOSTIC)))
+    return line.select(*keep, *[F.regexp_extract("_l", LOOSE_DIAGNOSTIC, n).alias(c) for n, c in enumerate(("severity", "code", "message"), 1)])
+
+
+def is_analyzer(code: Column, prefixes: tuple[str, ...] = ANALYZER_PREFIXES) -> Column:
+    return F.substring(code, 1, 2).isin(*prefixes)
+
+
+def unwrapped(diagnostics: DataFrame, shift: str = "shift") -> DataFrame:
+    """Lines of diagnostics in the text itself, where it was checked inside a wrapper: less the lines that put it off, one at least."""
+    return diagnostics.withColumn("line", F.greatest(F.col("line") - F.coalesce(F.col(shift), F.lit(0)), F.lit(1))).drop(shift)
 
 
 def attribute(diagnostics: DataFrame, spans: DataFrame) -> DataFrame:

@@ -81,6 +81,76 @@ def verdicts(candidates: DataFrame, baselines: DataFrame, check: Check, memo: Da
     return decided.unionByName(late)
 
 
+def placed_in_file(rows: DataFrame, files: DataFrame, text: str) -> DataFrame:
+    """``in_file`` of each row: its file with ``text`` in its member's place; null where file or member is missing.
+
+    ``rows``: app, path, member, signature and the text; ``files``: app, path,
+    text. A file goes to its rows once per distinct text that is to be placed.
+    """
+    from ..functions import al
+
+    def run(keys: list, sources: list, names: list, signatures: list, new: list) -> list[tuple]:
+        out = []
+        for key, src, name, signature, text_ in zip(keys, sources, names, signatures, new):
+            m = al.find_member(src, name or "", signature)
+            out.append((key, al.splice(src, m, text_) if m else None))
+        return out
+
+    key = F.xxhash64("app", "path", "member", "signature", text)
+    keyed = rows.withColumn("_place", F.when(F.col(text).isNotNull(), key))
+    once = keyed.where("_place is not null").select("_place", "app", "path", "member", "signature", text).dropDuplicates(["_place"])
+    both = once.join(files.where("text is not null").select("app", "path", F.col("text").alias("_src")), ["app", "path"])
+    made = map_rows(both.select("_place", "_src", "member", "signature", text), run, "_place long, in_file string")
+    return keyed.join(made, "_place", "left").drop("_place")
+
+
+def verified(candidates: DataFrame, baselines: DataFrame, files: DataFrame, check: Check, *, mode: str = "inapp", memo: DataFrame | None = None) -> DataFrame:
+    """Candidates with kept, reason and via, checked in the file they come from (``inapp``) or alone (``compile``).
+
+    ``candidates``: gen, target_al, rejected_al, app, path, member, signature;
+    ``files``: app, path, text; ``baselines``: app, error_clean. In-app, pairs
+    count only in apps that were clean, and break them with the rejected side in
+    place; other targets are clean with the target in place, or unseen where they
+    are their member (or stand in their file) as it was and the app was clean;
+    objects that do not stand in their file go into a fresh app under an id of
+    their own. Every distinct file text is checked once, whatever its app, so a
+    hot app is as many tasks as it has texts. Text answers are kept unseen.
+    """
+    from ..functions import al
+
+    if mode == "compile":
+        return verdicts(candidates.withColumn("origin", F.lit(None).cast("string")), baselines, check, memo)
+    if mode != "inapp":
+        raise ValueError(f"no such mode: {mode}")
+    base = candidates.join(baselines.select("app", "error_clean").dropDuplicates(["app"]), "app", "left").join(files.select("app", "path", F.col("text").alias("_file")).dropDuplicates(["app", "path"]), ["app", "path"], "left")
+    paired, clean = F.col("gen").isin(*PAIRED), F.coalesce("error_clean", F.lit(False))
+    whole = F.col("gen") == "g6_spec2object"
+    quick = F.when(F.col("target_al").isNull(), "text").when(F.col("_file").isNull(), "no origin").when(paired & ~clean, "origin not clean").when(~paired & clean & verbatim(F.col("target_al"), F.col("_file")), "verbatim")
+    base = base.withColumn("via", quick).drop("_file")
+    done = base.where("via is not null").withColumn("kept", F.col("via").isin("text", "verbatim")).withColumn("reason", F.col("via"))
+    open_ = base.where("via is null")
+
+    def alone(keys: list, texts: list) -> list[tuple]:
+        return [(k, al.with_object_id(al.wrapped(x)[0], 50000)) for k, x in zip(keys, texts)]
+
+    fresh = map_rows(open_.where(whole).select(F.xxhash64("target_al").alias("_k"), "target_al").dropDuplicates(["_k"]), alone, "_k long, in_file string")
+    objects = open_.where(whole).withColumn("_k", F.xxhash64("target_al")).join(fresh, "_k").drop("_k").withColumn("via", F.lit("fresh-app"))
+    placed = placed_in_file(open_.where(~whole), files, "target_al").withColumn("via", F.lit("inapp"))
+    good, _ = with_memo(objects.unionByName(placed), "in_file", memo, check)
+    good = good.withColumnRenamed("codes", "good_codes").drop("in_file")
+    bad, _ = with_memo(placed_in_file(good, files, "rejected_al"), "in_file", memo, check)
+    sound, broken = F.coalesce(is_clean(F.col("good_codes")), F.lit(False)), F.coalesce(~is_clean(F.col("codes")), F.lit(False))
+    reason = F.when(~sound, "target has errors").when(paired & ~broken, "rejected side compiles").when(paired, "pair").otherwise("compiles")
+    late = bad.withColumn("reason", reason).withColumn("kept", reason.isin("pair", "compiles")).drop("good_codes", "codes", "in_file")
+    return done.unionByName(late)
+
+
+def pass_rates(verdicts_: DataFrame, *by: str) -> DataFrame:
+    """(by, n_in, n_kept, pass_rate)."""
+    n = verdicts_.groupBy(*by).agg(F.count("*").alias("n_in"), F.count_if("kept").alias("n_kept"))
+    return n.withColumn("pass_rate", F.round(F.col("n_kept") / F.greatest("n_in", F.lit(1)), 3))
+
+
 def baselines(apps: DataFrame, files: DataFrame, check: Check) -> DataFrame:
     """(app, error_clean, n_errors, error_codes, n_analyzer_hits, analyzer_rules, exception) of every app over its files.
 
@@ -119,20 +189,21 @@ def brackets_check(text: str) -> list[str]:
     for a, b in (("(", ")"), ("[", "]"), ("{", "}")):
         if low.count(a) != low.count(b):
             out.append("AL0104")
-    in_case, then = False, [i for i, w in enumerate(low) if w == "then"]
-    after = 0
+    in_case, waiting = False, 0  # ifs whose then is still to come
     for i, w in enumerate(low):
         if w == "case":
             in_case = True
         elif w == "else" and i and low[i - 1] == ";" and not in_case:
             out.append("AL0110")
         elif w == "if":
-            while after < len(then) and then[after] < i:
-                after += 1
-            if after == len(then) or then[after] >= i + 60:
+            waiting += 1
+        elif w == "then":
+            if not waiting:
                 out.append("AL0104")
+            waiting = max(0, waiting - 1)
         elif w == "var" and i + 2 < len(low) and low[i + 1] in ("begin", "then", "end", "case", "trigger", "procedure") and low[i + 2] == ":":
             out.append("AL0105")
+    out += ["AL0104"] * waiting
     known = set()
     begin = low.index("begin") if "begin" in low else len(low)
     for i in range(begin):

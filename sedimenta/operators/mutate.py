@@ -6,31 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import mutations as M
-from ..functions.arrow import map_rows
+from ..functions.arrow import flat_map, map_rows
 from ..functions.text import fenced
 from ..session import Scratch
-from .generate import usable
+from .generate import PROMPTS, framed, usable
 
 
 def mutated(members: DataFrame) -> DataFrame:
-    """(record_id, mutation, position, rejected_al, mutation_desc): up to fourteen rows per member text."""
-
+    """The members with mutation, position, rejected_al, mutation_desc: up to fourteen rows per member text, null texts none."""
     order = {name: i for i, name in enumerate(M.CATALOGUE)}
 
-    def run(ids: list, texts: list, kinds: list) -> list[tuple]:
-        return [(rid, name, order[name], bad, said) for rid, text, kind in zip(ids, texts, kinds) if text for name, bad, said in M.mutate(text, {"member_kind": kind})]
+    def run(texts: list, kinds: list) -> list[list[tuple]]:
+        return [[(name, order[name], bad, said) for name, bad, said in M.mutate(text, {"member_kind": kind})] if text else [] for text, kind in zip(texts, kinds)]
 
-    return map_rows(members.select("record_id", "member_text", "member_kind").where("member_text is not null"), run, "record_id long, mutation string, position int, rejected_al string, mutation_desc string")
+    return flat_map(members, ["member_text", "member_kind"], run, "mutation string, position int, rejected_al string, mutation_desc string")
 
 
 def error_fix_pairs(members: DataFrame) -> DataFrame:
     """g5_error_fix: the broken member against the sound one, with the diagnostics the edit is meant to provoke."""
-    base = members.where(usable(2, 40, "procedure", "trigger"))
+    base = members.where(usable(2, 40, "procedure", "trigger")).select("record_id", "member_text", "member_kind", "repo", "path", "member_name", "signature")
     expected = F.create_map(*[x for k, v in M.EXPECTED.items() for x in (F.lit(k), F.array(*[F.lit(c) for c in v]))])
     turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
-    pair = base.join(mutated(base), "record_id")
-    prompt = F.concat(F.lit("This AL does not compile. Fix it.\n\n"), fenced(F.col("rejected_al")))
-    return pair.select("record_id", F.lit("g5_error_fix").alias("gen"), "mutation", "position", F.array(turn("user", prompt), turn("assistant", fenced(F.col("member_text")))).alias("messages"), F.col("member_text").alias("target_al"), "rejected_al", "repo", "path", F.col("member_name").alias("member"), "signature", "mutation_desc", F.element_at(expected, F.col("mutation")).alias("expected_diagnostic"))
+    prompt = framed(PROMPTS["g5_error_fix"], fenced(F.col("rejected_al")))
+    return mutated(base).select("record_id", F.lit("g5_error_fix").alias("gen"), "mutation", "position", F.array(turn("user", prompt), turn("assistant", fenced(F.col("member_text")))).alias("messages"), F.col("member_text").alias("target_al"), "rejected_al", "repo", "path", F.col("member_name").alias("member"), "signature", "mutation_desc", F.element_at(expected, F.col("mutation")).alias("expected_diagnostic"))
 
 
 def distinct_checked(df: DataFrame, text: str, check, name: str = "codes") -> DataFrame:

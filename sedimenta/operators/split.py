@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import hash_bucket
+from ..session import Scratch
 
 
 def hash_sample(df: DataFrame, key: Column, keep_one_in: int) -> DataFrame:
@@ -22,26 +24,21 @@ def held_out(group: Column, rate: int = 12) -> Column:
     return hash_bucket(group, rate) == 0
 
 
-def rank_by(df: DataFrame, order: list[Column], name: str = "rank", buckets: int | None = None) -> DataFrame:
+def rank_by(df: DataFrame, order: list[Column], name: str = "rank", scratch: Scratch | None = None) -> DataFrame:
     """A global 0-based rank without one task sorting everything.
 
-    Rows are cut into ranges by the leading order column's approximate
-    quantiles, ranked inside a range, and shifted by the rows in ranges before.
-    The leading column must be a number or be hashed to one. As many ranges as
-    the session has shuffle partitions, 256 at most.
+    Rows go to as many sorted ranges as the session has shuffle partitions and
+    are written there with their place in the range; the rows of the ranges
+    before are added. Order by enough columns: equal rows are ranked as they come.
     """
-    buckets = buckets or min(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    lead = order[0]
-    keyed = df.withColumn("_lead", lead.cast("double"))
-    cuts = sorted(set(keyed.approxQuantile("_lead", [i / buckets for i in range(1, buckets)], 0.001)))
-    part = F.lit(0)
-    if cuts:
-        edges = F.array(*[F.lit(c) for c in cuts])
-        part = F.size(F.filter(edges, lambda e: e <= F.col("_lead")))
-    keyed = keyed.withColumn("_part", part)
-    ahead = keyed.groupBy("_part").count().withColumn("_ahead", F.sum("count").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))).select("_part", F.coalesce("_ahead", F.lit(0)).alias("_ahead"))
-    inner = keyed.withColumn("_n", F.row_number().over(W.partitionBy("_part").orderBy(*order)))
-    return inner.join(F.broadcast(ahead), "_part").withColumn(name, F.col("_n") + F.col("_ahead") - 1).drop("_lead", "_part", "_n", "_ahead")
+    scratch = scratch or Scratch(df.sparkSession, "rank")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = placed.withColumn("_part", F.spark_partition_id()).withColumn("_n", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    placed = scratch.write(placed, f"ranked-{uuid.uuid4().hex}")
+    counts = placed.groupBy("_part").count()
+    ahead = counts.withColumn("_ahead", F.sum("count").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))).select("_part", F.coalesce("_ahead", F.lit(0)).alias("_ahead"))
+    return placed.join(F.broadcast(ahead), "_part").withColumn(name, F.col("_n") + F.col("_ahead")).drop("_part", "_n", "_ahead")  # one row a range
 
 
 def stride_sample(df: DataFrame, order: str, n: int) -> DataFrame:
@@ -80,33 +77,51 @@ def val_split(df: DataFrame, key: str, *, every: int = 20, seed: str = "161") ->
     return rank_by(df.withColumn("_h", h), [lead, F.col("_h"), F.col(key)], "_rank").withColumn("is_val", F.col("_rank") % every == 0).drop("_h", "_rank")
 
 
-def triple_cap(df: DataFrame, caps: dict[str, int], order: list[Column]) -> DataFrame:
+def triple_cap(df: DataFrame, caps: dict[str, int], order: list[Column], scratch: Scratch | None = None, first: int = 200_000) -> DataFrame:
     """Greedy acceptance in order: a row is taken iff none of its keys has reached its cap; refused rows use nothing up.
 
-    ``caps``: column -> cap. Every decision depends on all before it, so this is
-    one ordered pass; it sees only the key columns, and the number of accepted
-    rows is bounded by the caps. Rows that no later cap can admit are cheap.
+    ``caps``: column -> cap. A decision depends on all before it, so rows are
+    decided in stretches of the order, each four times as long as the one
+    before: what holds a key that is full by then is dropped in parallel, and one
+    pass decides the rest, which sees the keys only. A null is a key like others.
     """
+    scratch = scratch or Scratch(df.sparkSession, "caps")
     names = list(caps)
-    keys = df.select("_id", *names, *[o.alias(f"_o{i}") for i, o in enumerate(order)])
-    one = keys.repartition(1).sortWithinPartitions(*[f"_o{i}" for i in range(len(order))], "_id").select("_id", *names)
+    keyed = df.select("_id", *[F.coalesce(F.col(n).cast("string"), F.lit("\u0000")).alias(n) for n in names], *[o.alias(f"_o{i}") for i, o in enumerate(order)])
+    ranked = rank_by(keyed, [*[F.col(f"_o{i}") for i in range(len(order))], F.col("_id")], "_rank", scratch).select("_id", *names, "_rank")
+    total, low, size = ranked.count(), 0, first
+    taken = ranked.limit(0).select("_id", *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        used: dict[tuple, int] = {}
+        used: dict[tuple[str, str], int] = {}
         for batch in batches:
             kept = []
-            for i, row in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
-                held = list(zip(names, row))
-                if all(used.get(k, 0) < caps[k[0]] for k in held):
-                    for k in held:
-                        used[k] = used.get(k, 0) + 1
+            columns = [c.to_pylist() for c in batch.columns[1:]]
+            for i, row in enumerate(zip(*columns)):
+                held = list(zip(names, row, row[len(names) :]))
+                if all(before + used.get((n, k), 0) < caps[n] for n, k, before in held):
+                    for n, k, _ in held:
+                        used[n, k] = used.get((n, k), 0) + 1
                     kept.append(i)
-            yield pa.record_batch([batch.column(0).take(pa.array(kept, pa.int32()))], ["_id"])
-
-    taken = one.mapInArrow(run, f"_id {df.schema['_id'].dataType.simpleString()}")
-    return df.join(taken, "_id", "left_semi")
-
-
-def chunks(df: DataFrame, *group: str, order: str, size: int = 40) -> DataFrame:
-    """``chunk``: groups cut into pieces of ``size`` rows, so that no piece of work is a whole hot group."""
-    return df.withColumn("chunk", F.floor((F.row_number().over(W.partitionBy(*group).orderBy(order)) - 1) / size))
+            yield pa.record_batch([c.take(pa.array(kept, pa.int32())) for c in batch.columns[: 1 + len(names)]], ["_id", *names])
+
+    schema = f"_id {df.schema['_id'].dataType.simpleString()}, " + ", ".join(f"`{n}` string" for n in names)
+    step = 0
+    while low < total:
+        part = ranked.where((F.col("_rank") >= low) & (F.col("_rank") < low + size))
+        for n in names:
+            full = taken.groupBy(n).agg(F.count("*").alias(f"_u_{n}"))
+            part = part.join(full, n, "left").withColumn(f"_u_{n}", F.coalesce(f"_u_{n}", F.lit(0))).where(F.col(f"_u_{n}") < caps[n])
+        part = part.repartition(1).sortWithinPartitions("_rank").select("_id", *names, *[f"_u_{n}" for n in names])
+        taken = scratch.write(taken.unionByName(part.mapInArrow(run, schema)), f"taken{step}")
+        low, size, step = low + size, size * 4, step + 1
+    return df.join(taken.select("_id"), "_id", "left_semi")
+
+
+def chunks(df: DataFrame, *group: str, order: str, size: int = 40, scratch: Scratch | None = None) -> DataFrame:
+    """``chunk``: groups cut into pieces of ``size`` rows in order; a hot group lies in many ranges of one global rank."""
+    ranked = rank_by(df, [*[F.col(g) for g in group], F.col(order)], "_rank", scratch)
+    begin = ranked.groupBy(*group).agg(F.min("_rank").alias("_begin"))
+    on = [F.col(f"r.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group]
+    both = ranked.alias("r").join(begin.alias("b"), on)
+    return both.select(*[f"r.{c}" for c in df.columns], F.floor((F.col("_rank") - F.col("_begin")) / size).alias("chunk"))

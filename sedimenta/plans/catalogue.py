@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import repair as R
 from ..functions import text as X
+from ..functions.arrow import flat_map
 from ..functions.paths import clean_path, group_of, place
 from ..operators import assemble, decontam, dedup, extract, gate, generate, mutate, names, report, sections, split
 from ..session import Scratch
@@ -86,26 +87,56 @@ def exact_dedup_candidates(spark, sf):
     return dedup.exact_dedup(c, text, "cand_id", "gen").select("cand_id", "gen")
 
 
-def filter_drop_reasons(spark, sf):
-    """The gates in order: licence, path, prompt, exact duplicate; the first that hits counts."""
+def _failed(spark, sf, *exceptions: str) -> DataFrame:
+    """Folder names of apps whose baseline failed (so), as path fragments."""
+    a = _t(spark, sf, "apps").where(F.col("exception").isin(*exceptions) if exceptions else F.col("exception").isNotNull())
+    return a.select(F.concat(F.lit("/"), F.element_at(F.split("app_dir", "/"), -2), F.lit("/")).alias("f"))
+
+
+def _gated(spark, sf) -> DataFrame:
+    """Candidates with the first gate that stops them: licence, a folder of an app that failed, a prompt of an automation account; and their dedup text."""
     c = decontam.licence_gate(_candidates(spark, sf), "repo", _t(spark, sf, "sources"))
-    block = decontam.blocklist(_t(spark, sf, "benchmark"), ["text"])
-    fragment = _t(spark, sf, "benchmark").select(F.concat(F.lit("/Bench"), F.col("item_id").cast("string"), F.lit("/")).alias("f"))
-    by_path = decontam.path_contaminated(F.col("path"), fragment, c).select("cand_id", F.lit(1).alias("bad_path"))
-    by_prompt = decontam.equal_prompts(c, assemble.first_content(F.col("messages")), block.where("kind = 'prompt'").select("value")).select("cand_id", F.lit(1).alias("bad_prompt"))
+    by_path = decontam.path_contaminated(F.col("path"), _failed(spark, sf), c).select("cand_id", F.lit(1).alias("bad_path"))
+    block = decontam.blocklist(c.where(F.lower("meta.author").isin("build-agent", "merge-queue")).select(assemble.first_content(F.col("messages")).alias("prompt")), ["prompt"])
+    by_prompt = decontam.equal_prompts(c, assemble.first_content(F.col("messages")), block.select("value")).select("cand_id", F.lit(1).alias("bad_prompt"))
     c = c.join(by_path, "cand_id", "left").join(by_prompt, "cand_id", "left")
-    gate_ = F.when(~F.col("licence_ok"), "license").when(F.col("bad_path") == 1, "contam_path").when(F.col("bad_prompt") == 1, "contam_prompt")
-    c = c.withColumn("gate", gate_)
-    text = dedup.dedup_text(assemble.first_content(F.col("messages")), _answer(), F.col("target_al"), F.col("rejected_al"))
-    kept = dedup.exact_dedup(c.where("gate is null"), text, "cand_id", "gen").select("cand_id", F.lit("kept").alias("k"))
-    reason = F.coalesce("gate", "k", F.lit("exact"))
-    return c.join(kept, "cand_id", "left").groupBy("gen", reason.alias("reason")).agg(F.count("*").alias("n"))
+    stop = F.when(~F.col("licence_ok"), "license").when(F.col("bad_path") == 1, "contam_path").when(F.col("bad_prompt") == 1, "contam_prompt")
+    return c.select("cand_id", "gen", stop.alias("gate"), dedup.dedup_text(assemble.first_content(F.col("messages")), _answer(), F.col("target_al"), F.col("rejected_al")).alias("text"))
+
+
+def filter_drop_reasons(spark, sf):
+    """The gates in order: licence, path, prompt, exact duplicate; the first that hits counts."""
+    c = _gated(spark, sf)
+    kept = dedup.exact_dedup(c.where("gate is null"), F.col("text"), "cand_id", "gen").select("cand_id", F.lit("kept").alias("k"))
+    return c.join(kept, "cand_id", "left").groupBy("gen", F.coalesce("gate", "k", F.lit("exact")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+def filter_near(spark, sf):
+    """All gates and the near-duplicate one as the last; bands are hashes, so SQL has no counterpart (tests compare with a plain pass)."""
+    scratch = Scratch(spark, "filter")
+    c = scratch.write(_gated(spark, sf), "gated")
+    exact = scratch.write(dedup.exact_dedup(c.where("gate is null"), F.col("text"), "cand_id", "gen").select("cand_id", "gen", "text"), "exact")
+    near = dedup.keep_first(exact.select("cand_id"), dedup.minhash_bands(exact, "cand_id", F.col("text"), "gen"), scratch)
+    c = c.join(exact.select("cand_id", F.lit("near").alias("n_")), "cand_id", "left").join(near.withColumn("k", F.lit("kept")), "cand_id", "left")
+    return c.groupBy("gen", F.coalesce("gate", "k", "n_", F.lit("exact")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+def outside_slow_apps(spark, sf):
+    """Members outside the apps whose baseline ran into the time limit."""
+    return decontam.path_contaminated(F.col("path"), _failed(spark, sf, "timeout"), _members(spark, sf).select("member_id", "path"), outside=True).select("member_id")
+
+
+def page_paths(spark, sf):
+    """Documentation answers per generator's page path: in the teaching tree or not."""
+    d = _candidates(spark, sf).where("meta.doc_section is not null").select(F.concat(F.lit("docs/"), "meta.doc_section", F.lit("/"), F.col("meta.heading")).alias("p"))
+    return d.select(sections.path_teaches(F.col("p")).alias("teaches")).groupBy("teaches").agg(F.count("*").alias("n"))
 
 
 def decontam_exact(spark, sf):
-    """Documents whose whole normalised text is a benchmark text."""
-    block = decontam.blocklist(_t(spark, sf, "benchmark"), ["text"]).where("kind = 'prompt'").select("value")
-    return decontam.equal_prompts(_t(spark, sf, "documents"), F.col("text"), block).select("doc_id")
+    """Documents of other sources whose whole normalised text is one of the docs portal."""
+    d = _t(spark, sf, "documents").withColumn("portal", F.coalesce(F.regexp_replace(F.lower(F.trim("source")), r"[\s_]+", "-") == "docs-portal", F.lit(False)))
+    block = decontam.blocklist(d.where("portal"), ["text"]).where("kind = 'prompt'").select("value")
+    return decontam.equal_prompts(d.where("not portal"), F.col("text"), block).select("doc_id")
 
 
 def decontam_substring(spark, sf):
@@ -230,10 +261,40 @@ def severity_templates(spark, sf):
     return hits.join(F.broadcast(catalogue), "code", "left").groupBy("code", report.severity(F.col("severity")).alias("severity"), F.coalesce("message", F.lit("")).alias("message")).agg(F.count("*").alias("n"))
 
 
+#: Names of the compiler codes in the tables, and what some analyzer rules say; and entries that win over the rules.
+CODE_NAMES = {
+    "AL0104": "ERR_SyntaxErrorTokenExpected", "AL0111": "ERR_SemicolonExpected", "AL0118": "ERR_NameNotInContext", "AL0132": "ERR_NoSuchMember", "AL0185": "ERR_AppObjectNotFound",
+    "AL0432": "WRN_ObsoleteObjectReference", "AL0606": "ERR_BadTypeArgumentList",
+}
+RULE_TEXTS = {
+    "AA0008": "Calls need parentheses", "AA0021": "Variables are sorted by type", "AA0137": "Unused variable", "AA0181": "Find and Next belong together", "AA0205": "Uninitialized variable", "AA0215": "Casing of file names",
+    "AC0012": "Check the result of Get", "AW0006": "Page style", "DC0004": "Missing documentation", "FC0001": "Space around operators", "LC0003": "Magic number", "LC0015": "Use qualified names",
+    "PC0007": "Avoid loops of database calls", "TA0002": "Test without assertion", "UI0005": "Caption missing",
+}
+OVERRIDES = [("AL0104", "high", "deterministic", "delete_token"), ("AL0111", "high", "deterministic", "delete_semicolon"), ("AL0132", "high", "model", "rename_member"), ("AL0432", "low", "model", "reference_obsolete")]
+
+
+def _codes(spark, sf) -> DataFrame:
+    names = spark.createDataFrame([*((c, n, None) for c, n in CODE_NAMES.items()), *((c, None, t) for c, t in RULE_TEXTS.items())], "code string, name string, text string")
+    both = _hits(spark, sf).select("code", "severity").unionByName(_hits(spark, sf, "error_hits").select("code", "severity"))
+    said = F.when(F.startswith("name", F.lit("ERR_")), "error").when(F.startswith("name", F.lit("WRN_")), "warning").otherwise(F.col("severity"))
+    return both.join(names, "code", "left").withColumn("severity", said)  # of a compiler code its catalogue says how severe it is
+
+
 def diagnostic_categories(spark, sf):
-    """Findings of both kinds per category of their code."""
-    both = _hits(spark, sf).select("code").unionByName(_hits(spark, sf, "error_hits").select("code"))
-    return both.groupBy(report.diagnostic_category(F.col("code"), F.lit("")).alias("category")).agg(F.count("*").alias("n"))
+    """Findings of both kinds per category of their code, compiler codes by their name."""
+    return _codes(spark, sf).groupBy(report.diagnostic_category(F.col("code"), F.col("name")).alias("category")).agg(F.count("*").alias("n"))
+
+
+def error_catalogue(spark, sf):
+    """The codes of the findings with category, likelihood, strategy and mutation; entries given by hand win."""
+    given = spark.createDataFrame(OVERRIDES, "code string, likelihood string, strategy string, mutation string")
+    return report.diagnostics_catalogue(_codes(spark, sf), given).drop("severity")
+
+
+def likely_codes(spark, sf):
+    """The 40 codes a writing model causes most likely, by the rules alone (a top-k report)."""
+    return report.ranked_by_likelihood(report.diagnostics_catalogue(_codes(spark, sf)), 40).select("code", "likelihood", "strategy", "mutation")
 
 
 # ---------------------------------------------------------------- diagnostics
@@ -243,7 +304,7 @@ def parse_diagnostics(spark, sf):
     """Compiler logs back to rows: the members' findings written as log lines and parsed again."""
     h = _hits(spark, sf).unionByName(_hits(spark, sf, "error_hits")).where("path is not null")
     line = F.concat(F.replace("path", F.lit("/"), F.lit("\\")), F.lit("("), "line", F.lit(",7): "), "severity", F.lit(" "), "code", F.lit(": found here"))
-    logs = h.groupBy("repo").agg(F.concat_ws("\n", F.lit("building"), F.collect_list(line), F.lit("done")).alias("log"))
+    logs = h.groupBy("repo", "path").agg(F.concat_ws("\n", F.lit("building"), F.collect_list(line), F.lit("done")).alias("log"))
     parsed = extract.parse_diagnostics(logs, "log", "repo")
     return parsed.groupBy("repo", "severity", "code", extract.is_analyzer(F.col("code")).alias("analyzer")).agg(F.count("*").alias("n"), F.sum("line").alias("lines"))
 
@@ -344,6 +405,9 @@ def g5_candidates(spark, sf):
 
 def g6_candidates(spark, sf):
     f = _files(spark, sf)
+    apps = _apps(spark, sf)
+    clean = place(f.select("path"), apps).join(apps.where("error_clean").select("app"), "app").select("path")
+    f = f.join(clean, "path", "left_semi")  # verbatim objects count only where their app compiles
     o = extract.objects(f, "file_id", "content").where("error is null").join(f.select("file_id", "repo", "path"), "file_id")
     return generate.objects_from_spec(o.withColumn("record_id", F.col("file_id") * 1000 + F.col("object_no"))).select("record_id", "object", assemble.first_content(F.col("messages")).alias("prompt"))
 
@@ -360,7 +424,7 @@ def g7_probes(spark, sf):
 
 def g7_hard_negatives(spark, sf):
     """Completions of a stand-in model that a stand-in check refuses, with their class."""
-    fail = lambda prompt, attempt: prompt[-200 + attempt :]
+    fail = lambda prompt, attempt: prompt  # noqa: E731  # a model that repeats what it was asked
     g = generate.hard_negatives(generate.probes(_records(spark, sf)), fail, gate.brackets_check)
     return g.select("record_id", "probe_of", "hallucination_class", F.array_join("error_codes", ",").alias("codes"))
 
@@ -426,9 +490,43 @@ def _findings(text: str) -> list:
 
 def autofix_loop(spark, sf):
     """Mutated members through the repair loop with the stand-in check, per mutation."""
-    pairs = mutate.error_fix_pairs(_records(spark, sf)).withColumn("key", F.col("record_id") * 100 + F.col("position"))
-    done = gate.repaired(pairs.select(F.col("key").alias("record_id"), F.col("rejected_al").alias("text")), lambda x: R.repair(x, _findings))
-    return pairs.join(done.withColumnRenamed("record_id", "key"), "key").groupBy("mutation", "method").agg(F.count("*").alias("n"), F.count_if(F.col("fixed") == F.col("target_al")).alias("n_exact"))
+    fixer = R.Repairer()
+    pairs = mutate.error_fix_pairs(_records(spark, sf)).select("mutation", "target_al", "rejected_al")
+    run = lambda texts: [[fixer.repair(x, _findings)] for x in texts]
+    done = flat_map(pairs, ["rejected_al"], run, "fixed string, method string")
+    return done.groupBy("mutation", "method").agg(F.count("*").alias("n"), F.count_if(F.col("fixed") == F.col("target_al")).alias("n_exact"))
+
+
+def _trailing(text: str) -> list:
+    """A stand-in analyzer: lines with blanks at their end."""
+    return [R.Finding(i + 1, 1, "FC9001", "blanks at the end", "warning") for i, x in enumerate(text.split("\n")) if x.rstrip("\r") != x.rstrip("\r").rstrip(" \t")]
+
+
+def _trimmed(text: str, f) -> str:
+    lines = text.split("\n")
+    end = "\r" if lines[f.line - 1].endswith("\r") else ""
+    lines[f.line - 1] = lines[f.line - 1].rstrip("\r").rstrip(" \t") + end
+    return "\n".join(lines)
+
+
+def g8_fixed_members(spark, sf):
+    """Members of source files as they read after a stand-in analyzer's fixes to their file (blanks put at line ends before)."""
+    f = _files(spark, sf).select("file_id", "path", F.regexp_replace("content", ";(\r?\n)", "; $1").alias("content"))
+    m = extract.members(f, "file_id", "content").where("error is null and has_body")
+    m = m.select((F.col("file_id") * 1000 + F.col("object_no") * 100 + F.col("member_no")).alias("record_id"), F.col("file_id").alias("app"), F.lit("").alias("path"), F.col("member_name").alias("member"), "signature")
+    fixed = generate.fixed_members(f.select(F.col("file_id").alias("app"), F.lit("").alias("path"), F.col("content").alias("text")), m, _trailing, _trimmed)
+    return fixed.select("record_id", F.sha1("fixed_text").alias("fixed_sha"), F.array_join("applied_rules", ",").alias("rules"))
+
+
+def inapp_pass_rates(spark, sf):
+    """Mutants of extracted members, spliced into their files and checked there by the stand-in check: kept and pass rate per reason."""
+    f = _files(spark, sf).select("file_id", "content")
+    m = extract.members(f, "file_id", "content").where("error is null")
+    m = m.withColumn("record_id", F.col("file_id") * 1000 + F.col("object_no") * 100 + F.col("member_no")).withColumn("repo", F.lit(None).cast("string")).withColumn("path", F.lit(""))
+    pairs = mutate.error_fix_pairs(m).select("record_id", F.floor(F.col("record_id") / 1000).alias("app"), "path", "gen", "target_al", "rejected_al", "member", "signature", "mutation")
+    clean = f.select(F.col("file_id").alias("app"), (F.col("file_id") % 5 != 0).alias("error_clean"))  # a fifth of the stand-in apps was not clean
+    v = gate.verified(pairs, clean, f.select(F.col("file_id").alias("app"), F.lit("").alias("path"), F.col("content").alias("text")), gate.brackets_check)
+    return gate.pass_rates(v, "mutation", "reason")
 
 
 def calibration(spark, sf):
@@ -482,12 +580,12 @@ def events_per_day(spark, sf):
 
 
 _QUERIES = [
-    exact_dedup_documents, exact_dedup_candidates, filter_drop_reasons, decontam_exact, decontam_substring, license_gate_members, allowed_repositories, shingle_stats,
+    exact_dedup_documents, exact_dedup_candidates, filter_drop_reasons, filter_near, outside_slow_apps, page_paths, decontam_exact, decontam_substring, license_gate_members, allowed_repositories, shingle_stats,
     near_dup_pairs_exact, near_dup_keep_first, hash_sample_members, heldout_by_group, kind_cap_candidates, val_split_candidates, stride_sample_members, seeded_take,
-    triple_cap_mutants, members_by_app, clean_app_members, candidate_baselines, resume_anti_join, severity_templates, diagnostic_categories, parse_diagnostics,
+    triple_cap_mutants, members_by_app, clean_app_members, candidate_baselines, resume_anti_join, severity_templates, diagnostic_categories, error_catalogue, likely_codes, parse_diagnostics,
     diagnostics_interval_join, near_hits, code_histogram_topk, mode_code, code_combinations, multiset_difference, baseline_codes, loc_buckets, rate_rollup, ranked_codes,
     memo_lookup, work_chunks, g1_candidates, g2_candidates, g3_candidates, g5_candidates, g6_candidates, g7_probes, g7_hard_negatives, g8_reviews, page_sections,
-    page_references, page_questions, prose_filter, extracted_members, nearest_name, vocabulary, verdicts, autofix_loop, calibration, sharegpt_rows, preference_pairs,
+    page_references, page_questions, prose_filter, extracted_members, nearest_name, vocabulary, verdicts, autofix_loop, g8_fixed_members, inapp_pass_rates, calibration, sharegpt_rows, preference_pairs,
     assembled_parts, datacard, incremental_dedup, events_per_day,
 ]
 

@@ -108,7 +108,44 @@ def test_edit_distance_and_nearest():
     ],
 )
 def test_single_repairs(text, finding, want):
-    assert (repair.structural(text, finding) or repair.near_name(text, finding)) == want
+    fixer = repair.Repairer()
+    assert (fixer.structural(text, finding) or fixer.near_name(text, finding)) == want
+
+
+@pytest.mark.parametrize(
+    "text, finding, want",
+    [
+        ("procedure P()\nbegin\n    exit(InsertFileContent())\nend;", repair.Finding(3, 30, "AL0111", "Semicolon expected."), "procedure P()\nbegin\n    exit(InsertFileContent());\nend;"),
+        ("a := 1 // why\n\nb := 2;", repair.Finding(3, 1, "AL0111"), "a := 1; // why\n\nb := 2;"),
+        ("begin\n;", repair.Finding(2, 1, "AL0111"), None),
+        ("if X then Y(); else Z();", repair.Finding(1, 1, "AL0110"), "if X then Y() else Z();"),
+        ("Message('; else');", repair.Finding(1, 1, "AL0110"), None),
+        ("using Foo.Bar.Baz;\nusing System.Utilities;\ncodeunit 50000 X\n{\n}", repair.Finding(1, 1, "AL0791", "The namespace 'Foo.Bar.Baz' is unknown."), "using System.Utilities;\ncodeunit 50000 X\n{\n}"),
+        ("var\n    exit: Integer;\nbegin\n    exit := 1;\n    exit;\nend;", repair.Finding(1, 10, "AL0105", "Syntax error, identifier expected; 'exit' is a keyword"), "var\n    exitValue: Integer;\nbegin\n    exitValue := 1;\n    exit;\nend;"),
+        ("var\n    CustNo: Code[20];\nbegin\n    Message(CustNo2); // CustNo2\nend;", repair.Finding(1, 1, "AL0118", "The name 'CustNo2' does not exist in the current context."), "var\n    CustNo: Code[20];\nbegin\n    Message(CustNo); // CustNo2\nend;"),
+        ("trigger OnAfterGetRecrd()\nbegin\nend;", repair.Finding(1, 1, "AL0162", "'OnAfterGetRecrd' is not a valid trigger for this object type."), "trigger OnAfterGetRecord()\nbegin\nend;"),
+        ("x", repair.Finding(9, 9, "AL0104", "'end' expected"), "xend "),
+        ("x", repair.Finding(1, 1, "AL0104", "'banana' expected"), None),
+        ("x", repair.Finding(1, 1, "ZZ1"), None),
+    ],
+)
+def test_edits_on_tokens(text, finding, want):
+    fixer = repair.Repairer()
+    assert (fixer.structural(text, finding) or fixer.near_name(text, finding)) == want
+
+
+def test_analyzer_fixes_are_the_last_resort():
+    check = lambda t: [repair.Finding(1, 1, "AL0999")] if "bad" in t else []
+    assert repair.repair("bad", check, code_fix=lambda t: t.replace("bad", "good")) == ("good", "analyzer-codefix")
+    assert repair.repair("bad", check, code_fix=lambda t: t) == (None, "unfixable:AL0999")
+
+
+def test_fixes_of_a_file_come_back_by_member():
+    src = "codeunit 5 X { procedure A() begin one() ; end; procedure B() begin two(); end; }"
+    analyze = lambda t: [repair.Finding(1, t.index(" ;") + 1, "FC1", severity="warning")] if " ;" in t else []
+    fix = lambda t, f: t.replace(" ;", ";", 1)
+    assert repair.fixed_file(src, [("A", None), ("Z", None)], analyze, fix) == [(0, "procedure A() begin one(); end;", ["FC1"])]
+    assert repair.fixed_file(src.replace(" ;", ";"), [("A", None)], analyze, fix) == []
 
 
 def test_repair_loop():
@@ -175,3 +212,58 @@ def test_fix_loop_ends():
     flip = lambda t, f: t.replace("a", "b ") if "a" in t else t.replace("b", "a")
     assert len(repair.apply_fixes("a ", analyze, flip)[1]) <= 6
     assert repair.strategy("X", {}) == "model" and repair.strategy("X", {"X": "deterministic"}) == "deterministic"
+
+
+APP_FILE = "codeunit 5 X { procedure A() begin one(); end; procedure B() begin two(); end; }"
+
+
+def test_checks_in_the_file_a_candidate_comes_from(spark):
+    a, b = "procedure A() begin one(); end;", "procedure B() begin two(); end;"
+    data = [
+        (1, "g1_fim", a, None, 1, "f", "A", None), (2, "g1_fim", "procedure A() begin new(); end;", None, 1, "f", "A", None), (3, "g1_fim", "procedure A() begin new(;", None, 1, "f", "A", None), (4, "g5_error_fix", b, "procedure B() begin two(;", 1, "f", "B", None),
+        (5, "g5_error_fix", b, "procedure B() begin two(;", 2, "f", "B", None), (6, "g6_spec2object", "enum 7 Color { }", None, 1, "f", None, None), (7, "g3_explain", None, None, None, None, None, None), (8, "g1_fim", a, None, 1, "gone", "A", None),
+        (9, "g1_fim", "procedure Z() begin end;", None, 1, "f", "Z", None), (10, "g5_error_fix", b, b, 1, "f", "B", None),
+    ]
+    c = spark.createDataFrame(data, "id long, gen string, target_al string, rejected_al string, app long, path string, member string, signature string")
+    apps = spark.createDataFrame([(1, True), (2, False)], "app long, error_clean boolean")
+    files = spark.createDataFrame([(1, "f", APP_FILE), (2, "f", APP_FILE), (3, "f", None)], "app long, path string, text string")
+    v = gate.verified(c, apps, files, gate.brackets_check)
+    got = {r.id: (r.kept, r.via) for r in v.collect()}
+    assert got == {
+        1: (True, "verbatim"), 2: (True, "inapp"), 3: (False, "inapp"), 4: (True, "inapp"), 5: (False, "origin not clean"), 6: (True, "fresh-app"), 7: (True, "text"), 8: (False, "no origin"), 9: (False, "inapp"), 10: (False, "inapp"),
+    }
+    assert {r.gen: (r.n_in, r.n_kept, r.pass_rate) for r in gate.pass_rates(v, "gen").collect()}["g5_error_fix"] == (3, 1, 0.333)
+    assert gate.verified(c.limit(0), apps, files, gate.brackets_check).count() == 0
+    assert gate.verified(c, apps, files, gate.brackets_check, mode="compile").where("id = 3").first().kept is False
+    with pytest.raises(ValueError):
+        gate.verified(c, apps, files, gate.brackets_check, mode="other")
+
+
+def test_fixes_of_files_and_their_members(spark):
+    from sedimenta.operators import generate
+
+    files = spark.createDataFrame([(1, "f", APP_FILE.replace("one()", "one() ")), (1, "g", APP_FILE), (2, "f", None)], "app long, path string, text string")
+    members = spark.createDataFrame([(10, 1, "f", "A", None), (11, 1, "f", "B", None), (12, 1, "f", "Gone", None), (13, 1, "g", "A", None), (14, None, None, None, None), (None, 1, "f", "A", None)], "record_id long, app long, path string, member string, signature string")
+    analyze = lambda t: [repair.Finding(1, 1, "FC1", severity="warning")] if ") ;" in t else []
+    got = generate.fixed_members(files, members, analyze, lambda t, f: t.replace(") ;", ");", 1))
+    assert {(r.record_id, r.fixed_text, tuple(r.applied_rules)) for r in got.collect()} == {(10, "procedure A() begin one(); end;", ("FC1",)), (11, "procedure B() begin two(); end;", ("FC1",))}
+
+
+def test_every_if_waits_for_its_then():
+    far = "procedure A() begin if " + " and ".join(f"F{i}(x, {i})" for i in range(40)) + " then exit; end;"
+    assert gate.brackets_check(far) == []
+    assert gate.brackets_check("begin if a b(); if c then d(); end") == ["AL0104"] and gate.brackets_check("begin a then b(); end") == ["AL0104"]
+
+
+def test_types_are_misspelt():
+    text = lambda kind: f"procedure P()\n    var\n        X: {kind};\n    begin\n        X := 1;\n    end;"
+    bad = lambda kind: mutations.m_rename_type(mutations.Source(text(kind)), {})[0].split("X: ")[1].split(";")[0]
+    assert [bad(k) for k in ("Integer", "Text", 'Record "Sales Line"', "Record Item", 'Codeunit "Abc"')] == ["Integr", "Textx", 'Record "Sales Lin"', "Record ItemX", 'Codeunit "AbcX"']
+
+
+def test_lines_of_a_wrapper_are_taken_off(spark):
+    from sedimenta.operators import extract
+
+    d = spark.createDataFrame([(5, 2, "a"), (1, 2, "b"), (4, None, "c"), (None, 2, "d")], "line int, shift int, code string")
+    assert {(r.code, r.line) for r in extract.unwrapped(d).collect()} == {("a", 3), ("b", 1), ("c", 4), ("d", 1)}
+    assert extract.GATE_PREFIXES == tuple(p for p in extract.ANALYZER_PREFIXES if p != "AW")

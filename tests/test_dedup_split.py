@@ -93,7 +93,6 @@ def test_decontamination(spark):
     assert ("path", "src/x.al") in rows(block) and len(rows(block.where("kind = 'prompt'"))) == 2
     docs = spark.createDataFrame([(1, "so THE quick  brown fox jumps over the lazy dog today ends"), (2, "nothing"), (3, None), (4, "SHORT")], "doc_id long, text string")
     assert rows(decontam.containing(docs, "doc_id", F.col("text"), items, "item_id", "text")) == [(1, 1)]
-    assert rows(decontam.containing(docs, "doc_id", F.col("text"), items, "item_id", "text", inline_chars=1)) == [(1, 1)]
     assert rows(decontam.equal_prompts(docs, F.col("text"), block.where("kind = 'prompt'").select("value")), "doc_id") == [(4,)]
     paths = spark.createDataFrame([(1, "a\\src\\x.al"), (2, "b"), (3, None)], "id long, path string")
     assert rows(decontam.path_contaminated(F.col("path"), block.where("kind = 'path'").select("value"), paths), "id") == [(1,)]
@@ -108,7 +107,7 @@ def test_licence_gate(spark):
 
 def test_rank_and_stride(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k"))
-    got = rows(split.rank_by(df, [F.col("k")], buckets=8), "k", "rank")
+    got = rows(split.rank_by(df, [F.col("k")]), "k", "rank")
     assert all(k == r for k, r in got) and len(got) == 1000
     assert rows(split.stride_sample(df, "k", 30), "k") == sorted([(i,) for i in range(0, 1000, 33)][:30], key=repr)
 
@@ -166,3 +165,59 @@ def test_conversations_refuse_unknown_roles(spark):
     bad = spark.createDataFrame([([("tool", "x")],)], "m array<struct<role:string,content:string>>")
     with pytest.raises(Exception, match="unknown role"):
         bad.select(assemble.conversations(F.col("m"))).collect()
+
+
+def test_containing_equals_plain_search(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abc") for _ in range(n))
+    items = {i: " ".join(word(rng.choice([1, 2, 3, 25, 45])) for _ in range(rng.randrange(1, 9))) for i in range(60)} | {90: None, 91: "", 92: "Short One"}
+    docs = {i: f"{word(4)} x{rng.choice(list(items.values())[:60])}{rng.choice(['', 'y', ' z'])} {word(3)}" for i in range(80)} | {90: None, 91: ""}
+    docs |= {200 + i: f"{t[1:]} {word(5)}" for i, t in items.items() if t}
+    flat = lambda t: " ".join((t or "").lower().split())
+    want = sorted((d, i) for d, t in docs.items() for i, p in items.items() if len(flat(p)) >= 40 and flat(p) in flat(t))
+    d = spark.createDataFrame([*docs.items(), (0, docs[0])], "doc_id string, text string")
+    got = decontam.containing(d, "doc_id", F.col("text"), spark.createDataFrame(list(items.items()), "item_id long, text string"), "item_id", "text")
+    assert sorted((int(a), b) for a, b in rows(got)) == want and len(want) > 50
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_paths_with_fragments_of_any_length(spark):
+    paths = {1: "src/App/Bench7/x.al", 2: "src\\App\\Other\\y.al", 3: "z", 4: None, 5: "src/App/Bench70/x.al"}
+    frags = ["/Bench7/", "App\\Other\\y.al", "z", "", None]
+    df = spark.createDataFrame(list(paths.items()), "id long, path string")
+    f = spark.createDataFrame([(x,) for x in frags], "f string")
+    assert rows(decontam.path_contaminated(F.col("path"), f, df), "id") == [(1,), (2,), (3,)]
+    assert rows(decontam.path_contaminated(F.col("path"), f, df, outside=True), "id") == [(4,), (5,)]
+    assert rows(decontam.path_contaminated(F.col("path"), f.limit(0), df), "id") == []
+
+
+def test_keep_first_ends_long_chains(spark):
+    """A chain of 300 versions, where every decision waits for the one before, a hub, and a row of its own."""
+    bands = [(i, b) for i in range(300) for b in (i, i + 1)] + [(1000 + i, 5000) for i in range(50)] + [(2000, 9000)]
+    want, kept = [], set()
+    held = {}
+    for i, b in bands:
+        held.setdefault(i, set()).add(b)
+    for i in sorted(held):
+        if kept.isdisjoint(held[i]):
+            kept |= held[i]
+            want.append((i,))
+    ids = spark.createDataFrame([(i,) for i in sorted(held)], "id long")
+    for rounds in (1, 3):
+        assert sorted(rows(dedup.keep_first(ids, spark.createDataFrame(bands, "id long, band long"), Scratch(spark, "t"), rounds=rounds))) == sorted(want)
+
+
+def test_caps_in_stretches_and_chunks_of_a_hot_group(spark):
+    rng = random.Random(8)
+    data = [(i, rng.random(), f"m{rng.randrange(3)}", rng.choice(["p1", "p2", None, f"p{rng.randrange(40)}"])) for i in range(600)]
+    caps, used, want = {"a": 25, "b": 6}, {}, []
+    for i, o, a, b in sorted(data, key=lambda r: r[1]):
+        if used.get(("a", a), 0) < 25 and used.get(("b", b), 0) < 6:
+            used["a", a], used["b", b] = used.get(("a", a), 0) + 1, used.get(("b", b), 0) + 1
+            want.append(i)
+    df = spark.createDataFrame(data, "_id long, o double, a string, b string")
+    for first in (10, 1000):
+        assert sorted(r[0] for r in rows(split.triple_cap(df, caps, [F.col("o")], first=first), "_id")) == sorted(want)
+    got = rows(split.chunks(df.select("_id", "a"), "a", order="_id", size=7), "_id", "a", "chunk")
+    for a in ("m0", "m1", "m2"):
+        assert [c for _, x, c in sorted(got) if x == a] == [k // 7 for k in range(sum(x == a for _, x, _ in got))]

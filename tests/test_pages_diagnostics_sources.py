@@ -99,6 +99,79 @@ def test_calls_keep_order_and_errors():
     assert calls.in_order(call, [1, 2, 3]) == [(10, None), (None, "ValueError: no"), (30, None)]
 
 
+def test_only_passing_failures_are_tried_again():
+    tried = []
+
+    class Failure(Exception):
+        def __init__(self, status):
+            self.status = status
+
+    def call(x):
+        tried.append(x)
+        if tried.count(x) == 1:
+            raise {1: TimeoutError("slow"), 2: Failure(503), 3: Failure(404), 4: ValueError("no")}[x]
+        return x
+
+    assert [e is None for _, e in calls.in_order(call, [1, 2, 3, 4], workers=1)] == [True, True, False, False] and tried == [1, 1, 2, 2, 3, 4]
+
+
+SERVER = """
+import sys, json
+i, o = sys.stdin.buffer, sys.stdout.buffer
+def put(**m):
+    b = json.dumps(dict(jsonrpc="2.0", **m)).encode(); o.write(b"Content-Length: %d\\r\\n\\r\\n" % len(b) + b); o.flush()
+while True:
+    h = i.readline()
+    if not h: break
+    if not h.lower().startswith(b"content-length"): continue
+    n = int(h.split(b":")[1]); i.readline(); m = json.loads(i.read(n)); p = m.get("params", {})
+    if m["method"] in ("textDocument/didOpen", "textDocument/didChange"):
+        d = [dict(code=dict(value="AL0118"), severity=1, range=dict(start=dict(line=0, character=2)), message="x")] if "bad" in p["textDocument"]["text"] else []
+        put(method="textDocument/publishDiagnostics", params=dict(uri=p["textDocument"]["uri"], diagnostics=d))
+    elif m["method"] == "textDocument/completion": put(id=m["id"], result=dict(items=[dict(label="Post")]))
+    elif m["method"] == "tools/call":
+        t = p["name"]
+        if t == "list_rules": put(id=m["id"], result=dict(content=[dict(type="text", text="no json")], isError=True))
+        else: put(id=m["id"], result=dict(content=[dict(type="text", text=json.dumps(dict(diagnostics=[dict(id="FC1", line=3, column=4, severity="Warning", filePath="a\\\\b.al", message=t)])))]))
+    elif "id" in m: put(id=m["id"], result={})
+"""
+
+
+def test_tool_servers_and_detected_framing(tmp_path):
+    from sedimenta.sources import servers
+
+    start = lambda: calls.ProcessClient([sys.executable, "-c", SERVER], framing="auto", patience=1.0)
+    fixes = servers.FixServer(start())
+    assert fixes.client.framing == "headers"
+    assert fixes.analyze("p") == [{"file": "a/b.al", "line": 3, "column": 4, "severity": "warning", "code": "FC1", "message": "analyze"}]
+    assert servers.CompileServer(start()).compile("p")[0]["message"] == "al_compile"
+    try:
+        fixes.list_rules()
+        raise AssertionError
+    except RuntimeError as e:
+        assert str(e) == "no json"
+    fixes.client.close()
+    f = tmp_path / "x.al"
+    f.write_text("bad text")
+    lsp = servers.LanguageServer(start(), str(tmp_path))
+    assert lsp.error_codes(str(f)) == ["AL0118"] and lsp.diagnostics(str(f))[0]["column"] == 3
+    assert lsp.is_error_clean(str(f), "good text") and lsp.completion(str(f), 1, 1) == ["Post"]
+
+
+def test_coercion_of_results():
+    from sedimenta.sources import servers as v
+
+    assert [v.code_of(d) for d in ({"code": 7}, {"code": {"value": "A"}}, {"id": "B"}, {"code": None}, {})] == ["7", "A", "B", "", ""]
+    assert [v.severity_of(d) for d in ({"severity": 2}, {"severity": "3"}, {"severity": "Error"}, {"severity": None}, {}, {"severity": 9})] == ["warning", "info", "error", "error", "error", "error"]
+    assert v.range_of({"startLine": "4", "startColumn": 2}) == (4, 2) and v.range_of({}) == (1, 1) and v.range_of({"range": {"start": {"line": 0, "character": 0}}}) == (1, 1)
+    assert v.file_of({"uri": "file:///a%20b/c.al"}) == "/a b/c.al" and v.file_of({}) == ""
+
+
+def test_diagnostics_without_a_position(spark):
+    df = spark.createDataFrame([("r", "x.al(1,2): error AL0118: no name\nerror AL1022: no package\r\nplain\nwarning AA1: short"), ("s", None)], "repo string, log string")
+    assert rows(extract.parse_loose(df, "log", "repo")) == [("r", "error", "AL0118", "no name"), ("r", "error", "AL1022", "no package")]
+
+
 def test_process_client_both_framings(tmp_path):
     lines = "import sys,json\nfor l in sys.stdin:\n    m=json.loads(l)\n    print(json.dumps({'method':'note'}),flush=True)\n    print(json.dumps({'id':m['id'],'result':m['params']}),flush=True)\n"
     c = calls.ProcessClient([sys.executable, "-c", lines])
@@ -128,3 +201,28 @@ def test_incremental_dedup(spark, tmp_path):
     run()
     run()
     assert rows(spark.read.parquet(sink), "id") == [(1,), (3,), (5,), (6,)]
+
+
+def test_paths_of_teaching_pages(spark):
+    paths = ["dev-itpro/developer/methods.md", "dev-itpro/administration/telemetry-x.md", "dev-itpro/upgrade/x.md", "developer", "docs\\developer\\a\\b.md", "docs/developer/Includes/x.md", "docs/developer/monitoring.md", "docs/x/developer/y.md", None, ""]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string")
+    assert [r[0] for r in df.orderBy("i").select(sections.path_teaches(F.col("p"))).collect()] == [True, False, False, True, True, False, False, False, False, False]
+
+
+def test_catalogue_of_codes(spark):
+    data = [
+        ("AL0001", "error", "ERR_InvalidLiteral", None), ("AL0002", "warning", "WRN_ObsoleteThing", None), ("AL0003", "error", "ERR_DuplicateFieldId", None), ("AL0004", "error", "ERR_NoSuchMember", None), ("AL0005", "error", "ERR_OrphanedElse", None),
+        ("AL0006", "info", "INF_Whatever", None), ("AL0007", "warning", "WRN_Whatever", None), ("AL0008", "error", "ERR_Whatever", None), ("AL0009", None, None, None), ("AL0010", "error", "ERR_TypeMismatch", None), ("AL0011", "error", "ERR_ManifestBroken", None),
+        ("AS0001", "error", None, "x"), ("AW0001", "warning", None, "spacing"), ("LC0001", "warning", None, "use qualified names"), ("LC0002", "warning", None, "magic"), ("FC0001", "info", None, "Casing of keywords"), ("FC0001", "info", None, "Casing of keywords"), (None, "error", None, None),
+    ]
+    got = {r.code: tuple(r)[2:] for r in report.diagnostics_catalogue(spark.createDataFrame(data, "code string, severity string, name string, text string")).collect()}
+    assert got == {
+        "AL0001": ("lexical", "medium", "deterministic", "corrupt_literal"), "AL0002": ("obsoletion", "low", "model", "reference_obsolete"), "AL0003": ("metadata", "none", "none", None), "AL0004": ("binding", "high", "model", "rename_identifier"),
+        "AL0005": ("syntax", "high", "deterministic", "delete_token"), "AL0006": ("semantic", "none", "none", None), "AL0007": ("semantic", "low", "model", None), "AL0008": ("semantic", "medium", "model", None), "AL0009": ("other", "low", "model", None),
+        "AL0010": ("type", "high", "model", "change_var_type"), "AL0011": ("metadata", "none", "none", None), "AS0001": ("metadata", "none", "model", None), "AW0001": ("analyzer-correctness", "low", "model", None),
+        "LC0001": ("analyzer-correctness", "low", "analyzer-codefix", None), "LC0002": ("analyzer-correctness", "low", "model", None), "FC0001": ("analyzer-style", "medium", "analyzer-codefix", "case_mismatch_keyword"),
+    }
+    full = spark.createDataFrame(data, "code string, severity string, name string, text string")
+    given = spark.createDataFrame([("AL0008", "high", "model", "m")], "code string, likelihood string, strategy string, mutation string")
+    ranked = [r.code for r in report.ranked_by_likelihood(report.diagnostics_catalogue(full, given), 6).collect()]
+    assert ranked == ["AL0004", "AL0005", "AL0008", "AL0010", "AL0001", "FC0001"]
