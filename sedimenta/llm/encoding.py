@@ -496,6 +496,7 @@ def repair_encoding(df: DataFrame, id_col: str, text_col: str, *, min_support: i
     told = "lean = 2 and (sure or clean >= n_own) or lean = 1 and clean >= n_own or lean = 0 and not inverse and (clean >= n_own or sure and damage = '')"
     twins = twins.join(F.broadcast(spoken), "chain").where(told).drop("own", "n_own", "sure", "inverse")
     twins = scratch.write(twins, "twins")
+    scratch.drop("all_twins")
 
     # What each transformation explains; undamaged and better supported ones first.
     support = {(r["chain"], r["damage"]): r["n"] for r in twins.groupBy("chain", "damage").agg(F.sum("n").alias("n")).collect()}

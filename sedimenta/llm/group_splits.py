@@ -17,8 +17,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.paths import path_parts, place
+from ..operators.components import components
 from ..session import Scratch
-from .components import components
 
 # Author entries that name nobody, and accounts that are no person.
 PLACEHOLDERS = ("", "-", "?", "n/a", "na", "none", "null", "nil", "unknown", "anonymous", "tbd", "todo", "author", "user", "noreply", "no-reply", "admin", "root", "system")

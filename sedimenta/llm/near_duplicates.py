@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from ..session import Scratch
 from . import kernel as K
-from .components import components
 from .similarity import classes_of, pair_buckets, verified
 
 U64 = np.uint64
@@ -183,6 +183,7 @@ def near_duplicates(
     candidates = found.where(F.col("b").isNotNull()).select("a", "b").unionByName(dense).distinct()
     near = candidates.join(packed.alias("x"), F.col("a") == F.col("x.class")).join(packed.alias("y"), F.col("b") == F.col("y.class")).where(_agreement("x", "y", names, perms) >= floor).select("a", "b")
     near = scratch.write(near, "near")
+    scratch.drop("buckets")
 
     members = scratch.write(sketches.select("id", "class").distinct(), "members")
     touched = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
@@ -190,4 +191,6 @@ def near_duplicates(
     texts = base.join(reps, "id").dropDuplicates(["class"]).select("class", "text")
     pairs = near.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
     links = scratch.write(verified(pairs, "text_a", "text_b", shingle, threshold, ["a", "b"]), "links")
+    scratch.drop("near")
+    scratch.drop("sketches")
     return NearDuplicates(links, members, scratch)

@@ -271,4 +271,5 @@ def split_overlap(
     texts = base.select("id", "text").join(reps, "id").dropDuplicates(["class"]).select("class", "text")
     pairs = near.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
     links = scratch.write(verified(pairs, "text_a", "text_b", shingle, threshold, ["a", "b"]), "links")
+    scratch.drop("near")
     return SplitOverlap(links, sides)

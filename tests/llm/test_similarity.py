@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedimenta.llm import kernel as K
-from sedimenta.llm.components import components
 from sedimenta.llm.near_duplicates import near_duplicates
 from sedimenta.llm.similarity import bucket_pairs, meet_buckets, pair_buckets
 from sedimenta.llm.split_overlap import conversation_text, shape, split_overlap, votes_of
+from sedimenta.operators.components import components
 from sedimenta.session import Scratch
 from tests.conftest import rows
 
