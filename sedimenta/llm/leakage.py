@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,9 @@ from . import kernel as K
 
 U64 = np.uint64
 WORD = re.compile(r"[^\W_]+")
-_COUNTED = re.compile(r"(?<![^\W_])\d+[\W_]+([^\W\d_]+)(?![^\W_])")
-_INSIDE = re.compile(r"(?<=[^\W_] )[A-ZÀ-Þ][^\W_]*")
+# what stands before is looked at only behind a first character that fits, not at every place of a text
+_COUNTED = re.compile(r"\d(?<![^\W_].)\d*[\W_]+([^\W\d_]+)(?![^\W_])")
+_INSIDE = re.compile(r"[A-ZÀ-Þ](?<=[^\W_] .)[^\W_]*")
 #: A word is a name if so much of its use has a capital, a unit if so much of it follows a number.
 NAME_SHARE, UNIT_SHARE = 0.8, 0.5
 #: Words and statements are worked off in stretches of so many words.
@@ -176,7 +177,7 @@ def _windows(size: int, lexicon: tuple[Bits, Bits], wanted: tuple[Bits, Bits] |
                     continue
                 if len(lex) > lex.most:
                     lex.clear()
-                index = np.fromiter((lex[w] for part in words for w in part), np.int64, total)
+                index = np.fromiter(chain.from_iterable(map(lex.__getitem__, part) for part in words), np.int64, total)
                 lengths = np.array([len(p) for p in words])
                 doc = np.repeat(np.arange(len(words)), lengths)
                 pos = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(at, lengths)
