@@ -117,7 +117,7 @@ SQL = {
     "heldout_by_group": f"WITH {_C} SELECT gen, {_bucket('coalesce(nullif(' + _dir('path') + chr(44) + chr(39) * 2 + '), nullif(object, ' + chr(39) * 2 + '), gen)', 12)} = 0 AS held, count(*) AS n FROM c GROUP BY ALL",
     "kind_cap_candidates": f"""WITH {_C}, s AS (SELECT * FROM c WHERE coalesce(length(rejected_al), 0) = 0),
       k AS (SELECT cand_id, gen, row_number() OVER (PARTITION BY gen ORDER BY sha1(gen || answer), cand_id) AS k FROM s)
-      SELECT cand_id, gen FROM k WHERE k <= greatest(1, floor((SELECT count(*) FROM s) * 0.2))""",
+      SELECT cand_id, gen FROM k WHERE k <= greatest(1, floor((SELECT count(*) FROM s) * 0.35))""",
     "val_split_candidates": f"WITH {_C} SELECT cand_id, (row_number() OVER (ORDER BY sha1('161' || cand_id::VARCHAR), cand_id) - 1) % 20 = 0 AS is_val FROM c",
     "stride_sample_members": f"""WITH {_M}, s AS (SELECT member_id, row_number() OVER (ORDER BY member_id) - 1 AS r FROM m WHERE has_body AND body_loc BETWEEN 3 AND 40),
       n AS (SELECT greatest(1, count(*) // 110) AS step FROM s) SELECT member_id FROM s, n WHERE r % step = 0 AND r < step * 110""",
