@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 # The kinds of objects a file can declare.
 OBJECT_KINDS = (
@@ -18,7 +19,7 @@ _TOKEN = re.compile(
 _OPENERS, _CLOSERS = {"begin", "case"}, {"end"}
 
 
-@dataclass
+@dataclass(slots=True)
 class Token:
     kind: str
     text: str
@@ -71,6 +72,18 @@ def tokens(src: str, comments: bool = False) -> list[Token]:
     return [Token(m.lastgroup, m.group(), m.start(), m.end()) for m in _TOKEN.finditer(src) if comments or m.lastgroup != "comment"]
 
 
+@lru_cache(16)
+def known_tokens(src: str) -> list[Token]:
+    """The tokens of a text that is looked at several times; not to be changed."""
+    return tokens(src)
+
+
+@lru_cache(16)
+def known_members(src: str) -> list[Member]:
+    """The members of a text that is searched several times; not to be changed."""
+    return [m for o in objects(src) for m in o.members]
+
+
 def _match(toks: list[Token], i: int, open_: str, close: str) -> int:
     """Index after the bracket that closes the one at i; the end where none does."""
     depth = 0
@@ -206,7 +219,7 @@ def signature_key(signature: str) -> str:
 
 def find_member(src: str, name: str, signature: str | None = None) -> Member | None:
     """The member of that name; among overloads the one with that signature, else the first; null if there is none."""
-    found = [m for o in objects(src) for m in o.members if m.name.lower() == name.strip('"').lower()]
+    found = [m for m in known_members(src) if m.name.lower() == name.strip('"').lower()]
     exact = [m for m in found if signature is not None and signature_key(m.signature) == signature_key(signature)]
     return next(iter(exact or found), None)
 

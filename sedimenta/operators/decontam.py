@@ -67,9 +67,13 @@ def containing(df: DataFrame, id_col: str, text: Column, items: DataFrame, item_
     one, part = F.xxhash64(F.lit(1), longest(inner)), F.xxhash64(F.lit(-half), F.substring(longest(words), 1, half))
     i = i.withColumn("key", F.when(F.size(words) >= 5, three).when(F.size(words) >= 3, one).otherwise(part))
     base = df.select(F.col(id_col).alias("id"), norm(text).alias("t")).where("id is not null and t <> ''")
-    w = F.col("w")
-    long_ = F.flatten(F.transform(F.filter(w, lambda x: F.length(x) >= half), lambda x: _pieces(x, half)))
-    keys = base.select("id", F.split("t", " ").alias("w")).select("id", F.explode(F.array_distinct(F.concat(_grams(w, 3), _grams(w, 1), long_))).alias("key"))
+
+    def grams(w: Column) -> Column:
+        long_ = F.flatten(F.transform(F.filter(w, lambda x: F.length(x) >= half), lambda x: _pieces(x, half)))
+        return F.array_distinct(F.concat(_grams(w, 3), _grams(w, 1), long_))
+
+    # the words are bound once; written into the inner lambdas they would be split again for every run
+    keys = base.select("id", F.explode(F.get(F.transform(F.array(F.split("t", " ")), grams), F.lit(0))).alias("key"))
     met = keys.join(i.select("key", "item"), "key").select("id", "item").distinct()
     both = met.join(base.distinct(), "id").join(i.select("item", "p"), "item")
     return both.where(F.contains("t", "p")).select("id", "item").distinct()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrow import map_rows
 from ..functions.text import norm_ws
+from ..session import spread
 
 Check = Callable[[str], list[str]]
 PAIRED = ("g5_error_fix", "g7_hard_negative")
@@ -100,7 +101,9 @@ def placed_in_file(rows: DataFrame, files: DataFrame, text: str) -> DataFrame:
     keyed = rows.withColumn("_place", F.when(F.col(text).isNotNull(), key))
     once = keyed.where("_place is not null").select("_place", "app", "path", "member", "signature", text).dropDuplicates(["_place"])
     both = once.join(files.where("text is not null").select("app", "path", F.col("text").alias("_src")), ["app", "path"])
-    made = map_rows(both.select("_place", "_src", "member", "signature", text), run, "_place long, in_file string")
+    # a file's rows in sixteen places at most, so that it is parsed seldom and a hot one is never one task
+    both = spread(both.withColumn("_salt", F.pmod("_place", F.lit(16))), "_src", "_salt").select("_place", "_src", "member", "signature", text)
+    made = map_rows(both, run, "_place long, in_file string")
     return keyed.join(made, "_place", "left").drop("_place")
 
 
@@ -178,9 +181,9 @@ def baselines(apps: DataFrame, files: DataFrame, check: Check) -> DataFrame:
 
 def brackets_check(text: str) -> list[str]:
     """A stand-in for a compiler: balance of blocks and brackets, semicolons and keywords, as codes."""
-    from ..functions.al import tokens
+    from ..functions.al import known_tokens
 
-    t = tokens(text)
+    t = known_tokens(text)
     low = [x.low for x in t]
     out = []
     depth = low.count("begin") + low.count("case") - low.count("end")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import mutations as M
 from ..functions.arrow import flat_map, map_rows
 from ..functions.text import fenced
-from ..session import Scratch
+from ..session import Scratch, spread
 from .generate import PROMPTS, framed, usable
 
 
@@ -19,7 +19,7 @@ def mutated(members: DataFrame) -> DataFrame:
     def run(texts: list, kinds: list) -> list[list[tuple]]:
         return [[(name, order[name], bad, said) for name, bad, said in M.mutate(text, {"member_kind": kind})] if text else [] for text, kind in zip(texts, kinds)]
 
-    return flat_map(members, ["member_text", "member_kind"], run, "mutation string, position int, rejected_al string, mutation_desc string")
+    return flat_map(spread(members, "record_id"), ["member_text", "member_kind"], run, "mutation string, position int, rejected_al string, mutation_desc string")
 
 
 def error_fix_pairs(members: DataFrame) -> DataFrame:
