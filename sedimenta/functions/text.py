@@ -32,6 +32,16 @@ def shingles(normalised: Column, k: int = 5) -> Column:
     return F.get(F.transform(F.array(F.split(normalised, " ")), runs), F.lit(0))
 
 
+def shingle_hashes(normalised: Column, k: int = 5) -> Column:
+    """Distinct hashes of the ``shingles``, made from the words without writing the runs out."""
+
+    def runs(words: Column) -> Column:
+        n = F.greatest(F.lit(1), F.size(words) - (k - 1))
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(words, i, F.lit(k)))))
+
+    return F.get(F.transform(F.array(F.split(normalised, " ")), runs), F.lit(0))
+
+
 def without_comment_markers(col: Column) -> Column:
     """A comment without its leading slashes."""
     return F.trim(F.regexp_replace(F.trim(F.coalesce(col, F.lit(""))), r"(?m)^[ \t]*//+[ \t]?", ""))

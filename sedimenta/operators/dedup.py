@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import norm, shingles
+from ..functions.text import norm, shingle_hashes, shingles
 from ..session import Scratch
 from .components import components
 
@@ -38,26 +38,32 @@ def exact_dedup(df: DataFrame, text: Column, order: str, *scope: str) -> DataFra
     return df.join(first, order, "left_semi").dropDuplicates([order])
 
 
-def shared_shingle_pairs(df: DataFrame, id_col: str, text: Column, *, k: int = 5, threshold: float = 0.8) -> DataFrame:
+def shared_shingle_pairs(df: DataFrame, id_col: str, text: Column, *, k: int = 5, threshold: float = 0.8, scratch: Scratch | None = None) -> DataFrame:
     """(id_a, id_b, jaccard): all pairs of different normalised texts with shingle overlap of the threshold or more.
 
     Texts are deduplicated first. Only rare shingles generate candidates: those
     in the prefix that two sets of such overlap must share, ordered by document
-    frequency, so a shingle of boilerplate joins nothing with everything.
+    frequency, so a shingle of boilerplate joins nothing with everything. Those
+    of one text alone are no candidates but come first in the prefix; they are
+    counted, not moved. Shingles move as hashes; the pairs are verified on the
+    texts. Lineage is cut between the steps, so that no plan holds another twice.
     """
+    scratch = scratch or Scratch(df.sparkSession, "shingle-pairs")
     base = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), norm(text).alias("t"))
-    base = base.groupBy("t").agg(F.min("id").alias("id"))
-    sets = base.select("id", shingles(F.col("t"), k).alias("s")).withColumn("n", F.size("s"))
-    flat = sets.select("id", "n", F.explode("s").alias("sh")).select("id", "n", F.xxhash64("sh").alias("h"))
-    df_count = flat.groupBy("h").agg(F.count("*").alias("f"))
-    ranked = flat.join(df_count, "h")
-    prefix = ranked.withColumn("r", F.row_number().over(W.partitionBy("id").orderBy("f", "h"))).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1)
-    prefix = prefix.where("f > 1").select("id", "n", "h")
+    base = base.groupBy(F.sha2("t", 256).alias("_h")).agg(F.min(F.struct("id", "t")).alias("m")).select("m.id", "m.t")
+    base = scratch.write(base, "texts")
+    sets = base.select("id", shingle_hashes(F.col("t"), k).alias("s"))
+    flat = sets.select("id", F.size("s").alias("n"), F.explode("s").alias("h"))
+    common = flat.groupBy("h").agg(F.count("*").alias("f")).where("f > 1")
+    own = W.partitionBy("id")
+    ranked = flat.join(common, "h").select("id", "n", "h", F.row_number().over(own.orderBy("f", "h")).alias("r"), F.count("*").over(own).alias("m"))
+    prefix = scratch.write(ranked.where(F.col("r") <= F.col("m") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1).select("id", "n", "h"), "prefix")
+    held = scratch.write(base.join(prefix.select("id").distinct(), "id", "left_semi").select("id", shingles(F.col("t"), k).alias("s")), "held")
     x, y = prefix.alias("x"), prefix.alias("y")
     cand = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id")) & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.lit(threshold) - 1e-9))
     cand = cand.select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b")).distinct()
-    a = sets.select(F.col("id").alias("id_a"), F.col("s").alias("sa"))
-    b = sets.select(F.col("id").alias("id_b"), F.col("s").alias("sb"))
+    a = held.select(F.col("id").alias("id_a"), F.col("s").alias("sa"))
+    b = held.select(F.col("id").alias("id_b"), F.col("s").alias("sb"))
     both = cand.join(a, "id_a").join(b, "id_b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
     j = F.col("i") / (F.size("sa") + F.size("sb") - F.col("i"))
     return both.select("id_a", "id_b", j.alias("jaccard")).where(F.col("jaccard") >= threshold - 1e-12)

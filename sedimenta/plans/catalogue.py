@@ -161,8 +161,8 @@ def shingle_stats(spark, sf):
 
 def near_dup_pairs_exact(spark, sf):
     """Pairs of different candidate answers with shingle overlap of 0.8 or more, verified."""
-    c = _candidates(spark, sf).withColumn("answer", _answer())
-    return dedup.shared_shingle_pairs(c, "cand_id", F.col("answer")).select("id_a", "id_b", F.round("jaccard", 6).alias("jaccard"))
+    c = dedup.one_per_id(_t(spark, sf, "candidates").select("cand_id", _answer().alias("answer")), "cand_id")  # answers move, not whole rows
+    return dedup.shared_shingle_pairs(c, "cand_id", F.col("answer"), scratch=Scratch(spark, "pairs")).select("id_a", "id_b", F.round("jaccard", 6).alias("jaccard"))
 
 
 def near_dup_keep_first(spark, sf):

@@ -49,6 +49,22 @@ def test_shared_shingle_pairs_equal_brute_force(spark):
     assert got and sorted(got) == _brute(uniq, 3, 0.5)
 
 
+def test_shared_shingle_pairs_read_their_input_once(spark):
+    """Lineage is cut: a plan that holds the texts several times grows in the driver and computes them as often."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(words), " ".join([*words, "more"]), " ".join(reversed(words)), "one", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    got = dedup.shared_shingle_pairs(df.mapInArrow(counted, df.schema), "id", F.col("t"))
+    assert rows(got, "id_a", "id_b") == [(0, 1)] and read.value == 6
+
+
 def test_keep_first_is_the_sequential_pass(spark):
     rng = random.Random(3)
     for trial in range(3):
