@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from hashlib import sha256
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.arrow import map_rows
 from ..functions.text import norm_ws
-from ..session import spread
+from ..session import Scratch, spread
 
 Check = Callable[[str], list[str]]
 PAIRED = ("g5_error_fix", "g7_hard_negative")
@@ -82,32 +86,63 @@ def verdicts(candidates: DataFrame, baselines: DataFrame, check: Check, memo: Da
     return decided.unionByName(late)
 
 
-def placed_in_file(rows: DataFrame, files: DataFrame, text: str) -> DataFrame:
-    """``in_file`` of each row: its file with ``text`` in its member's place; null where file or member is missing.
+def _in_files(places: DataFrame, files: DataFrame, hot: DataFrame, then: Callable[[str], tuple], schema: str) -> DataFrame:
+    """(_place, then(text)) for every place whose member its file has: ``text`` is the file with the place's text in the member's stead.
 
-    ``rows``: app, path, member, signature and the text; ``files``: app, path,
-    text. A file goes to its rows once per distinct text that is to be placed.
+    ``places``: app, path, _place, member, signature, text; ``files``: one row
+    per app and path; ``hot``: app, path and _n, into how many parts a file with
+    many places goes. A file's text stands before its places in one sorted
+    stream, once per part, and is parsed once; no spliced text leaves its task.
     """
     from ..functions import al
 
-    def run(keys: list, sources: list, names: list, signatures: list, new: list) -> list[tuple]:
-        out = []
-        for key, src, name, signature, text_ in zip(keys, sources, names, signatures, new):
-            m = al.find_member(src, name or "", signature)
-            out.append((key, al.splice(src, m, text_) if m else None))
-        return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = src = None
+        for batch in batches:
+            out = []
+            for app, path, part, place, member, signature, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if place is None:
+                    at, src = (app, path, part), text
+                elif at == (app, path, part) and (m := al.find_member(src, member or "", signature)):
+                    out.append((place, *then(al.splice(src, m, text))))
+            columns = list(zip(*out)) if out else [()] * len(made)
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, made)], schema=made)
+
+    struct = T.StructType.fromDDL(f"_place long, {schema}")
+    made = to_arrow_schema(struct)
+    parts = F.coalesce("_n", F.lit(1))
+    heads = files.join(hot, ["app", "path"], "left").select("app", "path", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"), *[F.lit(None).cast(k).alias(c) for c, k in (("_place", "long"), ("member", "string"), ("signature", "string"))], "text")
+    rows = places.join(hot, ["app", "path"], "left").select("app", "path", F.pmod("_place", parts).cast("int").alias("_part"), "_place", "member", "signature", "text")
+    keys = ["app", "path", "_part"]
+    return spread(heads.unionByName(rows), *keys).sortWithinPartitions(*keys, F.col("_place").asc_nulls_first()).mapInArrow(run, struct)
+
+
+def codes_in_file(places: DataFrame, files: DataFrame, check: Check, memo: DataFrame | None, scratch: Scratch, part: int = 1024) -> DataFrame:
+    """(_place, codes) of every place that its file has, ``files`` and ``places`` as for ``_in_files``.
+
+    The first pass gives every spliced text its memo key, the second checks one
+    place of each key that the memo lacks. Splicing twice is cheaper than moving
+    a file's text once per place.
+    """
+
+    def checked(text: str) -> tuple:
+        try:
+            return sha256(text.encode()).hexdigest(), sorted(check(text))
+        except Exception:
+            return sha256(text.encode()).hexdigest(), ["EXCEPTION"]
 
-    key = F.xxhash64("app", "path", "member", "signature", text)
-    keyed = rows.withColumn("_place", F.when(F.col(text).isNotNull(), key))
-    once = keyed.where("_place is not null").select("_place", "app", "path", "member", "signature", text).dropDuplicates(["_place"])
-    both = once.join(files.where("text is not null").select("app", "path", F.col("text").alias("_src")), ["app", "path"])
-    # a file's rows in sixteen places at most, so that it is parsed seldom and a hot one is never one task
-    both = spread(both.withColumn("_salt", F.pmod("_place", F.lit(16))), "_src", "_salt").select("_place", "_src", "member", "signature", text)
-    made = map_rows(both, run, "_place long, in_file string")
-    return keyed.join(made, "_place", "left").drop("_place")
+    hot = places.groupBy("app", "path").agg(F.ceil(F.count("*") / part).cast("int").alias("_n")).where("_n > 1")
+    hot = scratch.write(hot, "hot-files")
+    keys = scratch.write(_in_files(places, files, hot, lambda text: (sha256(text.encode()).hexdigest(),), "key string"), "keys")
+    known = places.sparkSession.createDataFrame([], "key string, codes array<string>") if memo is None else memo.select("key", "codes")
+    open_ = keys.join(known, "key", "left_anti") if memo is not None else keys
+    first = scratch.write(open_.groupBy("key").agg(F.min("_place").alias("_place")).select("_place"), "first-places")
+    fresh = _in_files(places.join(first, "_place", "left_semi"), files, hot, checked, "key string, codes array<string>").drop("_place")
+    known = known.unionByName(scratch.write(fresh, "fresh-codes"))
+    return scratch.write(keys.join(known, "key").select("_place", "codes"), "codes")
 
 
-def verified(candidates: DataFrame, baselines: DataFrame, files: DataFrame, check: Check, *, mode: str = "inapp", memo: DataFrame | None = None) -> DataFrame:
+def verified(candidates: DataFrame, baselines: DataFrame, files: DataFrame, check: Check, *, mode: str = "inapp", memo: DataFrame | None = None, scratch: Scratch | None = None) -> DataFrame:
     """Candidates with kept, reason and via, checked in the file they come from (``inapp``) or alone (``compile``).
 
     ``candidates``: gen, target_al, rejected_al, app, path, member, signature;
@@ -118,6 +153,8 @@ def verified(candidates: DataFrame, baselines: DataFrame, files: DataFrame, chec
     objects that do not stand in their file go into a fresh app under an id of
     their own. Every distinct file text is checked once, whatever its app, so a
     hot app is as many tasks as it has texts. Text answers are kept unseen.
+    Candidates are written once and file texts meet them where they are looked
+    at, so that neither the plan nor the work repeats what led to them.
     """
     from ..functions import al
 
@@ -125,26 +162,37 @@ def verified(candidates: DataFrame, baselines: DataFrame, files: DataFrame, chec
         return verdicts(candidates.withColumn("origin", F.lit(None).cast("string")), baselines, check, memo)
     if mode != "inapp":
         raise ValueError(f"no such mode: {mode}")
-    base = candidates.join(baselines.select("app", "error_clean").dropDuplicates(["app"]), "app", "left").join(files.select("app", "path", F.col("text").alias("_file")).dropDuplicates(["app", "path"]), ["app", "path"], "left")
+    scratch = scratch or Scratch(candidates.sparkSession, "inapp")
+    files = scratch.write(files.where("app is not null and path is not null and text is not null").groupBy("app", "path").agg(F.min("text").alias("text")), "files")
+    place = lambda text: F.when(F.col(text).isNotNull(), F.xxhash64("app", "path", "member", "signature", text))
+    base = candidates.join(baselines.select("app", "error_clean").dropDuplicates(["app"]), "app", "left").join(files.select("app", "path", F.lit(True).alias("_file")), ["app", "path"], "left")
+    base = scratch.write(base.withColumns({"_good": place("target_al"), "_bad": place("rejected_al"), "_text": F.xxhash64("target_al")}), "candidates")
     paired, clean = F.col("gen").isin(*PAIRED), F.coalesce("error_clean", F.lit(False))
     whole = F.col("gen") == "g6_spec2object"
-    quick = F.when(F.col("target_al").isNull(), "text").when(F.col("_file").isNull(), "no origin").when(paired & ~clean, "origin not clean").when(~paired & clean & verbatim(F.col("target_al"), F.col("_file")), "verbatim")
-    base = base.withColumn("via", quick).drop("_file")
-    done = base.where("via is not null").withColumn("kept", F.col("via").isin("text", "verbatim")).withColumn("reason", F.col("via"))
-    open_ = base.where("via is null")
+    early = F.when(F.col("target_al").isNull(), "text").when(F.col("_file").isNull(), "no origin").when(paired & ~clean, "origin not clean")
+    asked = base.where(early.isNull() & ~paired & clean).select("app", "path", "_text", "target_al").dropDuplicates(["app", "path", "_text"])
+    found = asked.join(files, ["app", "path"]).where(verbatim(F.col("target_al"), F.col("text"))).select("app", "path", "_text", F.lit(True).alias("_verbatim"))
+    base = base.join(scratch.write(found, "verbatim"), ["app", "path", "_text"], "left")
+    via = F.coalesce(early, F.when(~paired & clean & F.col("_verbatim"), "verbatim"), F.when(whole, "fresh-app"), F.lit("inapp"))
+    base = scratch.write(base.withColumn("via", via).drop("_file", "_verbatim"), "seen")
+    own = ["_good", "_bad", "_text"]
+    done = base.where(~F.col("via").isin("fresh-app", "inapp")).withColumn("kept", F.col("via").isin("text", "verbatim")).withColumn("reason", F.col("via")).drop(*own)
+    open_ = base.where(F.col("via").isin("fresh-app", "inapp"))
 
     def alone(keys: list, texts: list) -> list[tuple]:
         return [(k, al.with_object_id(al.wrapped(x)[0], 50000)) for k, x in zip(keys, texts)]
 
-    fresh = map_rows(open_.where(whole).select(F.xxhash64("target_al").alias("_k"), "target_al").dropDuplicates(["_k"]), alone, "_k long, in_file string")
-    objects = open_.where(whole).withColumn("_k", F.xxhash64("target_al")).join(fresh, "_k").drop("_k").withColumn("via", F.lit("fresh-app"))
-    placed = placed_in_file(open_.where(~whole), files, "target_al").withColumn("via", F.lit("inapp"))
-    good, _ = with_memo(objects.unionByName(placed), "in_file", memo, check)
-    good = good.withColumnRenamed("codes", "good_codes").drop("in_file")
-    bad, _ = with_memo(placed_in_file(good, files, "rejected_al"), "in_file", memo, check)
-    sound, broken = F.coalesce(is_clean(F.col("good_codes")), F.lit(False)), F.coalesce(~is_clean(F.col("codes")), F.lit(False))
+    new = open_.where("via = 'fresh-app'").select("_text", "target_al").dropDuplicates(["_text"])
+    made = scratch.write(map_rows(new, alone, "_text long, in_file string"), "objects")
+    fresh = scratch.write(with_memo(made, "in_file", memo, check)[0].select("_text", F.col("codes").alias("_fresh")), "fresh-objects")
+    sides = [open_.where(f"{key} is not null" + more).select("app", "path", F.col(key).alias("_place"), "member", "signature", F.col(text).alias("text")) for key, text, more in (("_good", "target_al", " and via = 'inapp'"), ("_bad", "rejected_al", ""))]
+    places = scratch.write(sides[0].unionByName(sides[1]).dropDuplicates(["_place"]), "places")
+    codes = codes_in_file(places, files, check, memo, scratch)
+    late = open_.join(codes.select(F.col("_place").alias("_good"), F.col("codes").alias("_in")), "_good", "left").join(codes.withColumnsRenamed({"_place": "_bad"}), "_bad", "left").join(fresh, "_text", "left")
+    good = F.when(F.col("via") == "fresh-app", F.col("_fresh")).otherwise(F.col("_in"))
+    sound, broken = F.coalesce(is_clean(good), F.lit(False)), F.coalesce(~is_clean(F.col("codes")), F.lit(False))
     reason = F.when(~sound, "target has errors").when(paired & ~broken, "rejected side compiles").when(paired, "pair").otherwise("compiles")
-    late = bad.withColumn("reason", reason).withColumn("kept", reason.isin("pair", "compiles")).drop("good_codes", "codes", "in_file")
+    late = late.withColumn("reason", reason).withColumn("kept", reason.isin("pair", "compiles")).drop(*own, "_in", "_fresh", "codes")
     return done.unionByName(late)
 
 

@@ -525,7 +525,7 @@ def inapp_pass_rates(spark, sf):
     m = m.withColumn("record_id", F.col("file_id") * 1000 + F.col("object_no") * 100 + F.col("member_no")).withColumn("repo", F.lit(None).cast("string")).withColumn("path", F.lit(""))
     pairs = mutate.error_fix_pairs(m).select("record_id", F.floor(F.col("record_id") / 1000).alias("app"), "path", "gen", "target_al", "rejected_al", "member", "signature", "mutation")
     clean = f.select(F.col("file_id").alias("app"), (F.col("file_id") % 5 != 0).alias("error_clean"))  # a fifth of the stand-in apps was not clean
-    v = gate.verified(pairs, clean, f.select(F.col("file_id").alias("app"), F.lit("").alias("path"), F.col("content").alias("text")), gate.brackets_check)
+    v = gate.verified(pairs, clean, f.select(F.col("file_id").alias("app"), F.lit("").alias("path"), F.col("content").alias("text")), gate.brackets_check, scratch=Scratch(spark, "inapp"))
     return gate.pass_rates(v, "mutation", "reason")
 
 

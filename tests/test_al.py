@@ -239,6 +239,29 @@ def test_checks_in_the_file_a_candidate_comes_from(spark):
         gate.verified(c, apps, files, gate.brackets_check, mode="other")
 
 
+def test_candidates_are_read_and_texts_checked_once(spark):
+    """What led to the candidates is not computed again for every side, and equal files are checked once over all apps."""
+    read, calls = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    def check(text):
+        calls.add(1)
+        return gate.brackets_check(text)
+
+    b, bad = "procedure B() begin two(); end;", ["procedure B() begin two(;", "procedure B() begin two(]);", "procedure B() begin two(});"]
+    data = [(app * 10 + i, "g5_error_fix", b, x, app, "f", "B", None) for app in (1, 2) for i, x in enumerate(bad)]
+    c = spark.createDataFrame(data, "id long, gen string, target_al string, rejected_al string, app long, path string, member string, signature string")
+    apps = spark.createDataFrame([(1, True), (2, True)], "app long, error_clean boolean")
+    files = spark.createDataFrame([(1, "f", APP_FILE), (2, "f", APP_FILE)], "app long, path string, text string")
+    v = gate.verified(c.mapInArrow(counted, c.schema), apps, files, check)
+    assert {(r.id, r.kept, r.reason) for r in v.collect()} == {(x[0], True, "pair") for x in data}
+    assert read.value == 6 and calls.value == 4
+
+
 def test_fixes_of_files_and_their_members(spark):
     from sedimenta.operators import generate
 
